@@ -250,7 +250,7 @@ def record_affiliations(everyone: Column) -> Column:
     come sorted.
     """
     listed = F.flatten(F.transform(everyone, lambda p: affiliation_list(p["person"])))
-    return F.transform(F.array_distinct(F.transform(listed, F.to_json)), F.parse_json)
+    return F.transform(F.array_distinct(F.transform(listed, lambda a: F.to_json(a))), F.parse_json)
 
 
 def strip_people(everyone: Column) -> Column:

@@ -122,14 +122,14 @@ def with_js(*ctes: str) -> str:
 @query(
     "record_scalars",
     with_js(PERSONS, RECORDS)
-    + f"SELECT doc_id, id, title, year, lookup_year, publisher_raw, publisher_text, client_id, genre_raw, natural_key, "
+    + f"SELECT doc_id, id, title, CAST(year AS VARCHAR) AS year, CAST(lookup_year AS VARCHAR) AS lookup_year, publisher_raw, publisher_text, client_id, genre_raw, natural_key, "
     f"{attribute('language')} AS language, {attribute('url')} AS url, {attribute('created')} AS created, "
     f"coalesce({attribute('registered')}, '') AS registered, {attribute('updated')} AS update_date, "
     "lower(j->>'$.attributes.types.resourceType') AS resourceType FROM keyed",
 )
 def _(spark, sf_dir):
     return typed_records(spark, sf_dir).select(
-        "doc_id", "id", "title", "year", "lookup_year", "publisher_raw", "publisher_text", "client_id", "genre_raw",
+        "doc_id", "id", "title", F.col("year").cast("string"), F.col("lookup_year").cast("string"), "publisher_raw", "publisher_text", "client_id", "genre_raw",
         "natural_key", "language", "url", "created", "registered", "update_date", "resourceType",
     )
 
@@ -261,7 +261,7 @@ def _(spark, sf_dir):
     + """, told AS (SELECT doc_id, n, full_name, list_transform(list_filter(affs, lambda a: json_type(a) = 'OBJECT'),
       lambda a: concat_ws(',', nullif(a->>'$.affiliationIdentifier', ''), nullif(a->>'$.affiliationIdentifierScheme', ''), nullif(a->>'$.name', ''))) AS t
       FROM named WHERE len(list_filter(affs, lambda a: json_type(a) = 'OBJECT')) > 0)
-    SELECT js.doc_id, coalesce(string_agg(concat(full_name, '@', array_to_string(t, ';')), '|' ORDER BY n), '') AS people
+    SELECT js.doc_id, coalesce(string_agg(full_name || '@' || array_to_string(t, ';'), '|' ORDER BY n), '') AS people
     FROM js LEFT JOIN told USING (doc_id) GROUP BY js.doc_id""",
 )
 def _(spark, sf_dir):
