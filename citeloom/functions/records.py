@@ -18,7 +18,7 @@ from citeloom.constants import (
     FOS_SCHEME,
     SUBJECT_REFERENCE,
 )
-from citeloom.functions.text import as_column, strip, uri_tail
+from citeloom.functions.text import as_column, let, strip
 
 PERSON = (
     "struct<name:string,nameType:string,givenName:string,familyName:string,"
@@ -224,19 +224,19 @@ def orcid(person: Column) -> Column:
     found = F.filter(
         identifiers(person), lambda i: (i["scheme"] == ORCID_SCHEME) & i["identifier"].isNotNull()
     )
-    return F.when(F.size(found) > 0, uri_tail(F.try_element_at(found, F.lit(-1))["identifier"]))
+    return F.substring_index(F.try_element_at(found, F.lit(-1))["identifier"], "/", -1)
 
 
 def authors(everyone: Column) -> Column:
     def author(p: Column) -> Column:
         person = p["person"]
-        listed = affiliation_list(person)
+        filled = let(affiliation_list(person), lambda a: F.when(F.size(a) > 0, a))
         return F.struct(
             p["role"].alias("role"),
             F.nullif(person["givenName"], F.lit("")).alias("first_name"),
             F.nullif(person["familyName"], F.lit("")).alias("last_name"),
             full_name(person).alias("full_name"),
-            F.when(F.size(listed) > 0, listed).alias("affiliations"),
+            filled.alias("affiliations"),
             orcid(person).alias("orcid"),
         )
 

@@ -44,16 +44,20 @@ def string_array(values: list[str]) -> Column:
 
 def normalize_publisher(doi: Column | str, publisher: Column | str) -> Column:
     doi, publisher = as_column(doi), as_column(publisher)
-    plain, small = normalize(publisher), F.lower(publisher)
-    conditions = {
-        "id": lambda text: F.contains(F.lower(doi), F.lit(text)),
-        "norm": lambda text: F.contains(plain, F.lit(text)),
-        "exact": lambda text: publisher == text,
-        "prefix": lambda text: small.startswith(text),
-        "lower": lambda text: F.contains(small, F.lit(text)),
-    }
-    rules = [(conditions[where](text), F.lit(name)) for where, text, name in PUBLISHER_FORMS]
-    return first_hit(rules, publisher)
+
+    def canonical(plain: Column) -> Column:
+        small = F.lower(publisher)
+        conditions = {
+            "id": lambda text: F.contains(F.lower(doi), F.lit(text)),
+            "norm": lambda text: F.contains(plain, F.lit(text)),
+            "exact": lambda text: publisher == text,
+            "prefix": lambda text: small.startswith(text),
+            "lower": lambda text: F.contains(small, F.lit(text)),
+        }
+        rules = [(conditions[where](text), F.lit(name)) for where, text, name in PUBLISHER_FORMS]
+        return first_hit(rules, publisher)
+
+    return let(normalize(publisher), canonical)
 
 
 def normalize_format(c: Column | str) -> Column:

@@ -25,7 +25,7 @@ from citeloom.constants import (
     NAME_KEYWORDS,
 )
 from citeloom.functions.records import affiliation_list, empty_array, identifiers, text_only
-from citeloom.functions.text import normalize, plain_word
+from citeloom.functions.text import let, normalize, plain_word
 from citeloom.functions.values import is_national_client, is_national_publisher, string_array
 
 PUBLICATION, ORCID, NAME, ORGANISATION = "publication", "orcid", "name", "organisation"
@@ -55,7 +55,8 @@ def normalized_names(everyone: Column) -> Column:
 
 
 def keyword_hits(text: Column, keywords: list[str], prefix: str) -> Column:
-    found = F.filter(string_array(keywords), lambda k: F.contains(text, k))
+    """The keywords a text contains, each behind a prefix; the text is computed once."""
+    found = let(text, lambda t: F.filter(string_array(keywords), lambda k: F.contains(t, k)))
     return F.transform(found, lambda k: F.concat(F.lit(prefix), k))
 
 
@@ -82,13 +83,9 @@ def affiliation_text(everyone: Column) -> Column:
         )
     )
     plain = F.filter(F.transform(listed, text_only), lambda t: t != "")
-    structured = F.when(
-        F.size(values) > 0, F.concat(F.lit(" "), normalize(F.array_join(values, " , ")), F.lit(" "))
-    )
-    texts = F.when(
-        F.size(plain) > 0, F.array_join(F.transform(plain, lambda t: normalize(t)), "\n")
-    )
-    return F.concat_ws("\n", structured, texts)
+    structured = normalize(F.nullif(F.array_join(values, " , "), F.lit("")))
+    texts = F.array_join(F.transform(plain, lambda t: normalize(t)), "\n")
+    return F.concat_ws("\n", F.concat(F.lit(" "), structured, F.lit(" ")), texts)
 
 
 def affiliation_keyword_reasons(text: Column) -> Column:

@@ -14,6 +14,7 @@ from citeloom.constants import (
 from citeloom.functions.records import RECORD_SCHEMA, flatten_record, parse_records
 from citeloom.functions.text import clean_doi
 
+DUMP_PATTERN = "updated*/*.jsonl.gz"
 AFFILIATION_COLUMNS = [
     "doi_id", "doi_file_name", "type", "name", "doi_publisher", "doi_client_id", "affiliation", "origin_file",
 ]
@@ -79,21 +80,21 @@ def broken_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_dump(spark: SparkSession, root: str) -> DataFrame:
-    """Raw records of a flat dump: ``root/updated*/*.jsonl.gz``, one record per line.
+def read_dump(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> DataFrame:
+    """Raw records of a flat dump: gzipped files in ``updated*`` folders, one record per line.
 
     ``rec_id`` names a line. It is stable only for one reading of the files: write or
     checkpoint the parsed table before using it on both sides of a join.
     """
-    lines = text_lines(spark, f"{root}/updated*/*.jsonl.gz").withColumn(
+    lines = text_lines(spark, f"{root}/{pattern}").withColumn(
         "rec_id", F.concat_ws("#", "file_path", "file_block", "line_no")
     )
     return parse_records(lines, keep=("rec_id", "file_path", "file_block", "line_no"))
 
 
-def dump_files(spark: SparkSession, root: str) -> DataFrame:
+def dump_files(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> DataFrame:
     """The files of a dump, from the listing alone: their content is not read."""
-    listing = spark.read.format("binaryFile").load(f"{root}/updated*/*.jsonl.gz")
+    listing = spark.read.format("binaryFile").load(f"{root}/{pattern}")
     return listing.select(F.col("path").alias("file_path"))
 
 

@@ -173,25 +173,29 @@ URLS = (
     "SELECT page_id + 2000000, replace(url, '/en/', '//home/index/') FROM pages"
 )
 URL_TEXT = "trim(replace(replace(replace(split_part(lower(trim(url)), '?', 1), 'http://', ''), 'https://', ''), 'www.', ''))"
-URL_CTES = f"""
-cleaned AS (SELECT page_id, string_split({URL_TEXT}, '/') AS parts, {URL_TEXT} AS cleaned FROM ({URLS})),
-kept AS (
+
+
+def url_ctes(source: str, p: str = "") -> str:
+    """CTEs ending in ``{p}signed(page_id, normalized, signatures)`` of the URLs of a query."""
+    return f"""
+{p}cleaned AS (SELECT page_id, string_split({URL_TEXT}, '/') AS parts, {URL_TEXT} AS cleaned FROM ({source})),
+{p}kept AS (
   SELECT page_id, list_transform(list_filter(list_zip(parts, range(len(parts))), lambda z: z[1] <> '' AND
     (z[2] = 0 OR NOT regexp_matches(z[1], '^(en|index|home)(\\.|$)'))), lambda z: z[1]) AS segs
-  FROM cleaned WHERE length(cleaned) >= 2),
-labelled AS (SELECT page_id, segs, list_filter(string_split(segs[1], '.'), lambda s: s <> '') AS labels FROM kept WHERE len(segs) > 0),
-suffixed AS (
+  FROM {p}cleaned WHERE length(cleaned) >= 2),
+{p}labelled AS (SELECT page_id, segs, list_filter(string_split(segs[1], '.'), lambda s: s <> '') AS labels FROM {p}kept WHERE len(segs) > 0),
+{p}suffixed AS (
   SELECT page_id, array_to_string(segs, '/') AS normalized,
     list_transform(range(2, len(labels) + 1), lambda n: array_to_string(labels[len(labels) - n + 1:], '.')) AS suffixes,
     list_transform(range(1, len(segs) + 1), lambda n: array_to_string(segs[1:n], '/')) AS prefixes
-  FROM labelled),
-signed AS (
+  FROM {p}labelled),
+{p}signed AS (
   SELECT page_id, normalized,
     list_concat(suffixes, list_filter(prefixes, lambda p: NOT list_contains(suffixes, p))) AS signatures
-  FROM suffixed)"""
+  FROM {p}suffixed)"""
 
 
-@query("url_signatures", f"WITH {URL_CTES} SELECT page_id, normalized, array_to_string(signatures, ' ') AS signatures FROM signed")
+@query("url_signatures", f"WITH {url_ctes(URLS)} SELECT page_id, normalized, array_to_string(signatures, ' ') AS signatures FROM signed")
 def _(spark, sf_dir):
     s = v.frame(spark, sf_dir, URLS).select("page_id", url_signature("url").alias("s")).where("s IS NOT NULL")
     return s.select("page_id", "s.normalized", F.array_join("s.signatures", " ").alias("signatures"))
