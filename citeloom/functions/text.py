@@ -27,6 +27,17 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def string_array(values: list[str]) -> Column:
+    """Constant array, as one literal that Spark folds."""
+    return F.split(F.lit("\x1f".join(values)), "\x1f")
+
+
+def string_map(pairs: dict[str, str]) -> Column:
+    """Constant map, as one literal that Spark folds."""
+    text = "\x1e".join(f"{k}\x1f{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\x1e"), F.lit("\x1f"))
+
+
 def plain_word(word: str) -> str:
     """A fixed word as :func:`normalize` would give it (for words that are one token)."""
     parts = unicodedata.normalize("NFD", word)
@@ -95,7 +106,7 @@ def ascii_fold(c: Column | str) -> Column:
     """Lower case ASCII rendering, everything else dropped."""
     source, target, expanded = _ascii_map()
     c = as_column(c)
-    known = F.create_map(*[F.lit(x) for pair in expanded.items() for x in pair])
+    known = string_map(expanded)
     wide = F.array_join(
         F.transform(F.split(c, ""), lambda char: F.coalesce(known[char], char)), ""
     )

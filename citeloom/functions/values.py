@@ -24,7 +24,16 @@ from citeloom.constants import (
     VERSION_COPY_ID_WORD,
     VERSION_COPY_PUBLISHERS,
 )
-from citeloom.functions.text import as_column, ascii_fold, ascii_word, let, normalize, strip
+from citeloom.functions.text import (
+    as_column,
+    ascii_fold,
+    ascii_word,
+    let,
+    normalize,
+    string_array,
+    string_map,
+    strip,
+)
 
 NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$"
 
@@ -38,10 +47,6 @@ def first_hit(rules: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return case.otherwise(otherwise)
 
 
-def string_array(values: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in values])
-
-
 def normalize_publisher(doi: Column | str, publisher: Column | str) -> Column:
     doi, publisher = as_column(doi), as_column(publisher)
 
@@ -173,14 +178,13 @@ def genre_features(resource_type: Column, publisher: Column, related: Column) ->
     The last relation to another DOI that names a version, a part or a copy overrides
     the genre of the general resource type.
     """
-    mapped = F.create_map(*[F.lit(x) for pair in GENRE_OF_TYPE.items() for x in pair])
+    mapped = string_map(GENRE_OF_TYPE)
     genre = F.when(publisher.isin(DATASET_PUBLISHERS), "dataset").otherwise(
         F.coalesce(mapped[resource_type], F.lit(GENRE_OTHER))
     )
     to_doi = F.filter(related, lambda r: r["relatedIdentifierType"] == "DOI")
     deciding = F.filter(to_doi, lambda r: r["relationType"].isin(list(GENRE_OF_RELATION)))
-    relations = F.create_map(*[F.lit(x) for pair in GENRE_OF_RELATION.items() for x in pair])
-    override = relations[F.try_element_at(deciding, F.lit(-1))["relationType"]]
+    override = string_map(GENRE_OF_RELATION)[F.try_element_at(deciding, F.lit(-1))["relationType"]]
     return F.struct(
         F.coalesce(override, genre).alias("genre"),
         F.when(override.isNotNull(), F.concat_ws("_", override, resource_type))

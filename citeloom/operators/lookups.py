@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.constants import FIRST_AUTHOR_YEAR, TERRITORY_CODES
-from citeloom.functions.text import normalize
-from citeloom.functions.values import string_array
+from citeloom.functions.text import normalize, string_array
 
 
 def publication_lookup(publications: DataFrame, order: str = "row_order") -> DataFrame:

@@ -15,6 +15,8 @@ follows has its own exchange by record.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.constants import (
@@ -25,8 +27,8 @@ from citeloom.constants import (
     NAME_KEYWORDS,
 )
 from citeloom.functions.records import affiliation_list, empty_array, identifiers, text_only
-from citeloom.functions.text import let, normalize, plain_word
-from citeloom.functions.values import is_national_client, is_national_publisher, string_array
+from citeloom.functions.text import let, normalize, plain_word, string_array, string_map
+from citeloom.functions.values import is_national_client, is_national_publisher
 
 PUBLICATION, ORCID, NAME, ORGANISATION = "publication", "orcid", "name", "organisation"
 REASONS = {
@@ -330,10 +332,14 @@ def national_signals(
     row_id: str = "rec_id",
     ror_on: str = "creator",
     last_names: list[str] | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Records with reasons, organisation ids and the lists behind them.
 
     ``records`` is the typed record table; ``lookup`` comes from :func:`lookup_table`.
+    Found entries are few next to the records. ``cut`` may write their table, so that its
+    true size is known when it meets the wide records: a small one is then broadcast, and
+    the wide side is not shuffled at all.
     """
     c = F.col
     probes = F.concat(
@@ -352,6 +358,7 @@ def national_signals(
         record_rors(c("people"), ror_on).alias("_rors"),
     )
     hits = gather_hits(probe_hits(narrow, probes, lookup, row_id), row_id)
+    hits = cut(hits) if cut else hits
 
     named = records.withColumns(
         {
@@ -365,7 +372,7 @@ def national_signals(
     )
     hit_kind = "struct<signal:string,pos:int,sub:int,key:string,rors:array<string>,local_affiliations:array<string>>"
     found = named.join(hits, row_id, "left").withColumn("hits", F.coalesce("hits", empty_array(hit_kind)))
-    reason = F.create_map(*[F.lit(x) for pair in REASONS.items() for x in pair])
+    reason = string_map(REASONS)
     reasons = collect_reasons(
         F.concat(c("_own"), F.transform("hits", lambda h: reason[h["signal"]]))
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions.records import empty_array, record_columns
@@ -19,7 +21,7 @@ from citeloom.operators.dedupe import drop_version_copies, file_batches, keep_fi
 from citeloom.operators.registry import match_registry
 from citeloom.operators.signals import national_signals
 from citeloom.session import cut_lineage
-from citeloom.sources.readers import dump_files, read_dump
+from citeloom.sources.readers import DUMP_PATTERN, dump_files, read_dump
 from citeloom.sources.sinks import write_by_institution, write_catalogue
 
 
@@ -35,21 +37,30 @@ def build_catalogue(
     *,
     batch: list[str],
     order: list[Column | str],
+    batches: DataFrame | None = None,
     row_id: str = "rec_id",
     lists: DataFrame | None = None,
     structures: DataFrame | None = None,
     ror_on: str = "creator",
     fix_units: bool = False,
     last_names: list[str] | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The catalogue out of typed records (``record_columns``) and side tables.
 
     Cheap rejects come first, national records are few, and only those go through the
     keep-first shuffle. Parts are dropped after keep-first, as a dropped part may stand
     for later rows of the same key.
+
+    ``batches`` (of :func:`file_batches`) adds batch and rank of the file of a record, late,
+    to the few rows that need it. ``cut`` writes the table of found side-table entries on
+    the way (see :func:`national_signals`).
     """
-    signalled = national_signals(drop_version_copies(records), lookup, row_id, ror_on, last_names)
-    kept = keep_first(with_reason(drop_noise(signalled)), "natural_key", batch, order, row_id)
+    signalled = national_signals(drop_version_copies(records), lookup, row_id, ror_on, last_names, cut)
+    accepted = with_reason(drop_noise(signalled))
+    if batches is not None:
+        accepted = accepted.join(batches, "file_path")
+    kept = keep_first(accepted, "natural_key", batch, order, row_id)
     catalogue = catalogue_row(drop_parts(with_genre(kept)), fix_units)
     if lists is not None:
         catalogue = with_institutions(catalogue, lists)
@@ -61,7 +72,7 @@ def build_catalogue(
 
 
 def catalogue_from_dump(
-    spark: SparkSession, root: str, lookup: DataFrame, **options
+    spark: SparkSession, root: str, lookup: DataFrame, pattern: str = DUMP_PATTERN, **options
 ) -> DataFrame:
     """Read a dump, cut the lineage once at the typed records, build the catalogue.
 
@@ -69,12 +80,17 @@ def catalogue_from_dump(
     the lines, and lets each branch read only the columns it needs.
     """
     keep = ("rec_id", "file_path", "file_block", "line_no")
-    records = cut_lineage(record_columns(read_dump(spark, root), keep=keep))
-    # one row per file of the listing, so small next to the records
-    batches = file_batches(dump_files(spark, root).select(same_path("file_path").alias("file_path")))
-    placed = records.withColumn("file_path", same_path("file_path")).join(batches, "file_path")
+    raw = read_dump(spark, root, pattern).withColumn("file_path", same_path("file_path"))
+    records = cut_lineage(record_columns(raw, keep=keep))
+    files = dump_files(spark, root, pattern).select(same_path("file_path").alias("file_path"))
     return build_catalogue(
-        placed, lookup, batch=["batch"], order=["file_rank", "file_block", "line_no"], **options
+        records,
+        cut_lineage(lookup),
+        batch=["batch"],
+        order=["file_rank", "file_block", "line_no"],
+        batches=file_batches(files),
+        cut=cut_lineage,
+        **options,
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,10 +15,8 @@ SETTINGS = {
     # split hot keys of a join even where that costs one more exchange
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # start wide, let adaptive execution merge small partitions
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    # no row or file of a broken line may stop a job over many files
-    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # sides are broadcast by Spark's own check of their size only; no hints anywhere
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
 }
 
 
@@ -31,18 +30,35 @@ def session(app: str = "citeloom", master: str | None = None, **settings: str) -
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that all executors share, below the one the cluster names.
+
+    Only a local session that names none gets a temporary folder.
+    """
+    base = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
+        base = tempfile.mkdtemp(prefix="citeloom-")
+    return f"{base.rstrip('/')}/citeloom-{uuid.uuid4()}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint to the shared folder of the cluster, so that lost executors cost no recomputation.
+    """The frame written as a Parquet table in the shared folder, and read back.
+
+    Lost executors then cost no recomputation, readers take only the columns they need,
+    and the planner knows the true size when it picks a join.
+    """
+    folder = shared_folder(df.sparkSession)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan dealt out over all cores when it has fewer splits than there are cores.
 
-    The folder is the one the cluster names; only a local session without one gets a
-    temporary folder of its own.
+    Meant for scans (of gzip files, which do not split, or of few row groups) before costly
+    expressions. With as many splits as cores, as in any large input, nothing is shuffled.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get(CHECKPOINT_DIR, None) or context.getConf().get(CHECKPOINT_DIR)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="citeloom-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -13,6 +13,7 @@ from citeloom.constants import (
 )
 from citeloom.functions.records import RECORD_SCHEMA, flatten_record, parse_records
 from citeloom.functions.text import clean_doi
+from citeloom.session import spread
 
 DUMP_PATTERN = "updated*/*.jsonl.gz"
 AFFILIATION_COLUMNS = [
@@ -89,7 +90,8 @@ def read_dump(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> Da
     lines = text_lines(spark, f"{root}/{pattern}").withColumn(
         "rec_id", F.concat_ws("#", "file_path", "file_block", "line_no")
     )
-    return parse_records(lines, keep=("rec_id", "file_path", "file_block", "line_no"))
+    # gzip files are one task each: deal the lines out before they are parsed
+    return parse_records(spread(lines), keep=("rec_id", "file_path", "file_block", "line_no"))
 
 
 def dump_files(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> DataFrame:

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from citeloom.operators import catalogue as C, harvest as H, lookups as L, registry as G, structures as P
 from citeloom.plans.jobs import enrich_repositories, same_path
+from citeloom.session import shared_folder
 from citeloom.sources import readers, sinks
 from citeloom.streaming import streams
 from suite import views as v
@@ -18,16 +16,6 @@ from suite.table_queries import AUTHORS, LISTS, PUBS, author_rows, institution_l
 from suite.text_queries import url_ctes
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder all executors share; a temporary one only in a local session without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        return tempfile.mkdtemp(prefix="citeloom-")
-    return f"{base}/{uuid.uuid4()}"
-
-
 # ---------------------------------------------------------------- repository registry
 
 HOST = "split_part(split_part(url, '/', 3), '?', 1)"
@@ -282,7 +270,7 @@ def _(spark, sf_dir):
 
 @query("dump_round_trip", with_js() + "SELECT j->>'$.id' AS id, replace(split_part(file_path, '/', 2), 'updated_', '') AS folder, j->>'$.attributes.language' AS language FROM js")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     lines = v.frame(spark, sf_dir, v.record_json(v.SPARK)).select(
         F.concat(F.lit("a"), F.regexp_extract("file_path", "updated_([0-9]+)", 1)).alias("updated"), "value"
     )
@@ -293,7 +281,7 @@ def _(spark, sf_dir):
 
 @query("listed_dump_files", f"SELECT CAST(count(DISTINCT {v.FILE_PATH}) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_rows FROM documents")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     lines = v.frame(spark, sf_dir, f"SELECT {v.FILE_PATH} AS file_path, doc_id FROM documents").select(
         F.concat(F.lit("a"), F.regexp_replace("file_path", "[^0-9]+", "-")).alias("updated"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"))).alias("value")
     )
@@ -306,7 +294,7 @@ def _(spark, sf_dir):
 
 @query("read_publications", f"WITH {PUBS} SELECT doi, array_to_string(rors, '|') AS rors FROM pubs")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     v.frame(spark, sf_dir, v.publications_sql()).orderBy("row_order").drop("row_order").write.csv(folder, sep=";", header=True)
     found = L.publication_lookup(readers.read_publications(spark, folder))
     return found.select("doi", F.array_join("rors", "|").alias("rors"))
@@ -334,7 +322,7 @@ def _(spark, sf_dir):
     f"SELECT DISTINCT doi_publisher, doi_client_id, nullif(affiliation, '') AS affiliation FROM ({v.customer_affiliations_sql()})",
 )
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     rows = v.frame(spark, sf_dir, v.customer_affiliations_sql()).select(*readers.AFFILIATION_COLUMNS)
     rows.write.csv(folder, escape='"')
     read = readers.read_affiliations(spark, folder)
@@ -346,7 +334,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     from citeloom.operators.affiliations import consolidate
 
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     detailed = v.frame(spark, sf_dir, v.customer_affiliations_sql())
     sinks.write_affiliations(detailed, consolidate(detailed), folder)
     parts = [
@@ -357,7 +345,7 @@ def _(spark, sf_dir):
 
 @query("read_authors", f"WITH {AUTHORS} SELECT author_key, CAST(count(*) AS BIGINT) AS n_years FROM authors GROUP BY 1")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     author_rows(spark, sf_dir).write.json(folder)
     found = L.author_lookup(readers.read_authors(spark, folder))
     return found.groupBy("author_key").agg(F.count("*").alias("n_years"))
@@ -365,7 +353,7 @@ def _(spark, sf_dir):
 
 @query("read_structures", f"SELECT '10.2210/pdb' || lower(rcsb_id) || '/pdb' AS doi, title, nullif(trim(lower(cited)), '') AS cited FROM ({ENTRIES})")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     entries(spark, sf_dir).withColumn("cell", F.lit("heavy")).write.json(folder)
     rows = P.structure_rows(readers.read_structures(spark, folder))
     return rows.select("doi", "title", F.try_element_at("doi_supplement_to", F.lit(1)).alias("cited"))
@@ -380,7 +368,7 @@ WRITTEN = "id string, title string, year string, licenses array<string>, natural
     + """SELECT id, nullif(title, '') AS title, CAST(year AS VARCHAR) AS year, natural_key, nullif(client_id, '') AS client_id FROM keyed""",
 )
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     sinks.write_catalogue(typed_records(spark, sf_dir).drop("doc_id", "rec_id", "file_path", "line_no"), folder)
     return spark.read.json(folder, schema=WRITTEN).drop("licenses")
 
@@ -417,7 +405,7 @@ LABELS_KNOWN = (
 
 @query("institution_files", BY_INSTITUTION.format(what="institution, id, title, CAST(lang AS VARCHAR) AS description, false AS heavy_in_csv"))
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     sinks.write_by_institution(local_rows(spark, sf_dir), v.frame(spark, sf_dir, LABELS_KNOWN), folder)
     lines = spark.read.json(f"{folder}/jsonl", schema="id string, title string, description string, institution string")
     table = spark.read.csv(f"{folder}/csv", header=True)
@@ -429,7 +417,7 @@ def _(spark, sf_dir):
 
 @query("append_state", f"SELECT status, CAST(2 * count(*) AS BIGINT) AS n FROM ({STATE}) GROUP BY status")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     for _ in range(2):
         sinks.append_state(v.frame(spark, sf_dir, STATE), folder)
     return spark.read.parquet(folder).groupBy("status").agg(F.count("*").alias("n"))
@@ -447,7 +435,7 @@ def event_stream(spark, sf_dir) -> DataFrame:
 
 @query("stream_records", with_js() + "SELECT j->>'$.id' AS id, j->>'$.attributes.language' AS language FROM js")
 def _(spark, sf_dir):
-    folder, out = scratch(spark), scratch(spark)
+    folder, out = shared_folder(spark), shared_folder(spark)
     v.frame(spark, sf_dir, v.record_json(v.SPARK)).select("value").write.text(f"{folder}/in", compression="gzip")
     raw = streams.stream_dump(spark, f"{folder}/in", "*.txt.gz").select("id", "language")
     streams.run_available(raw, f"{folder}/checkpoint", format="parquet", path=f"{out}/rows")
@@ -460,7 +448,7 @@ def _(spark, sf_dir):
     "GROUP BY ALL HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)",
 )
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     counted = streams.stream_slice_counts(event_stream(spark, sf_dir), "ts", "1 hour")
     streams.run_available(counted, f"{folder}/checkpoint", format="parquet", path=f"{folder}/rows")
     return spark.read.schema("slice_start timestamp, slice_end timestamp, n_rows bigint").parquet(f"{folder}/rows")
@@ -468,7 +456,7 @@ def _(spark, sf_dir):
 
 @query("stream_keep_first", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS key FROM events")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     rows = event_stream(spark, sf_dir).withColumn("key", F.col("user_id").cast("string"))
     first = streams.stream_keep_first(rows, "key", "ts", "100 days").select("key")
     streams.run_available(first, f"{folder}/checkpoint", format="parquet", path=f"{folder}/rows")
@@ -477,7 +465,7 @@ def _(spark, sf_dir):
 
 @query("stream_keep_first_in_order", "SELECT CAST(user_id AS VARCHAR) AS key, min(event_id) AS event_id FROM events GROUP BY 1")
 def _(spark, sf_dir):
-    folder = scratch(spark)
+    folder = shared_folder(spark)
     rows = event_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("key"), "event_id")
     sink = streams.keep_first_sink(f"{folder}/rows", "key", ["event_id"], "event_id")
     streams.run_available(rows, f"{folder}/checkpoint", foreach_batch=sink)

@@ -345,15 +345,13 @@ batches AS (
   FROM file_list)"""
 
 
-def placed(records: DataFrame) -> DataFrame:
-    return records.join(D.file_batches(records), "file_path")
+def batches(spark, sf_dir) -> DataFrame:
+    return D.file_batches(v.frame(spark, sf_dir, f"SELECT DISTINCT {v.FILE_PATH} AS file_path FROM documents"))
 
 
 @query("file_batches", with_js(BATCHES) + "SELECT file_path, CAST(file_rank AS BIGINT) AS file_rank, CAST(batch AS BIGINT) AS batch FROM batches")
 def _(spark, sf_dir):
-    files = v.frame(spark, sf_dir, f"SELECT {v.FILE_PATH} AS file_path FROM documents")
-    batches = D.file_batches(files)
-    return batches.select("file_path", F.col("file_rank").cast("bigint"), F.col("batch").cast("bigint"))
+    return batches(spark, sf_dir).select("file_path", F.col("file_rank").cast("bigint"), F.col("batch").cast("bigint"))
 
 
 FIRST = "row_number() OVER (PARTITION BY batch, coalesce('k' || natural_key, 'r' || doc_id) ORDER BY file_rank, line_no) = 1"
@@ -365,7 +363,8 @@ FIRST = "row_number() OVER (PARTITION BY batch, coalesce('k' || natural_key, 'r'
     + f"SELECT doc_id, CAST(batch AS BIGINT) AS batch, natural_key FROM keyed JOIN batches USING (file_path) QUALIFY {FIRST}",
 )
 def _(spark, sf_dir):
-    records = placed(typed_records(spark, sf_dir).select("rec_id", "doc_id", "file_path", "line_no", "natural_key"))
+    records = typed_records(spark, sf_dir).select("rec_id", "doc_id", "file_path", "line_no", "natural_key")
+    records = records.join(batches(spark, sf_dir), "file_path")
     kept = D.keep_first(records, "natural_key", ["batch"], ["file_rank", "line_no"], "rec_id")
     return kept.select("doc_id", F.col("batch").cast("bigint"), "natural_key")
 
@@ -431,8 +430,9 @@ def _(spark, sf_dir):
 
 def catalogue_rows(spark, sf_dir) -> DataFrame:
     return build_catalogue(
-        placed(typed_records(spark, sf_dir)),
+        typed_records(spark, sf_dir),
         lookup(spark, sf_dir),
+        batches=batches(spark, sf_dir),
         batch=["batch"],
         order=["file_rank", "line_no"],
         lists=institution_lists(spark, sf_dir),

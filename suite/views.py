@@ -10,9 +10,12 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from citeloom.session import spread
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents pages conversations labels benchmark"
 ).split()
+TEXT_TABLES = ["documents", "conversations", "pages"]
 
 SPARK, DUCK = "spark", "duck"
 
@@ -347,7 +350,8 @@ def tables(spark: SparkSession, sf_dir: str, sql: str) -> None:
     """Register the driver's tables a statement names as views of this session."""
     for name in TABLES:
         if re.search(rf"\b{name}\b", sql):
-            spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
+            table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+            (spread(table) if name in TEXT_TABLES else table).createOrReplaceTempView(name)
 
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
