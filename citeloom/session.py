@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # sides are broadcast by Spark's own check of their size only; no hints anywhere
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # the expressions are large: do not record the Python call site of each of their parts
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

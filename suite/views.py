@@ -28,9 +28,12 @@ def case(number: str, *values: str) -> str:
 
 def json_text(expr: str, engine: str) -> str:
     """A text as JSON string, quotes included."""
-    if engine == SPARK:
-        return f"substr(to_json(array({expr})), 2, length(to_json(array({expr}))) - 2)"
-    return f"CAST(to_json({expr}) AS VARCHAR)"
+    if engine == DUCK:
+        return f"CAST(to_json({expr}) AS VARCHAR)"
+    escaped = expr
+    for code, letter in ((92, "chr(92)"), (34, "'\"'"), (10, "'n'"), (13, "'r'"), (9, "'t'")):
+        escaped = f"replace({escaped}, chr({code}), chr(92) || {letter})"
+    return f"concat('\"', {escaped}, '\"')"
 
 
 def text(expr: str) -> str:
