@@ -108,7 +108,10 @@ def match_affiliations(consolidated: DataFrame, results: DataFrame) -> DataFrame
 def merge_affiliations(matched: DataFrame, detailed: DataFrame) -> DataFrame:
     """Matched rows left-joined with the detailed rows they came from, distinct.
 
-    Missing keys match each other; an empty text counts as missing.
+    Missing keys match each other; an empty text counts as missing. A large share of the
+    detailed rows may have one key (no affiliation at all), and an outer join cannot split
+    the side it does not preserve. So the join is an inner one, which can be split or
+    broadcast on either side, and matched rows without detailed rows are added.
     """
 
     def keyed(df: DataFrame, prefix: str) -> DataFrame:
@@ -119,8 +122,11 @@ def merge_affiliations(matched: DataFrame, detailed: DataFrame) -> DataFrame:
         detailed.withColumnsRenamed({"doi_id": "doi", "type": "creator_contributor"}), "_r_"
     ).select("doi", "doi_file_name", "creator_contributor", *[f"_r_{k}" for k in CONSOLIDATED])
     on = reduce(Column.__and__, [F.col(f"_l_{k}").eqNullSafe(F.col(f"_r_{k}")) for k in CONSOLIDATED])
-    merged = left.join(right, on, "left").withColumn("affiliation", F.col("_l_affiliation"))
-    return merged.select(*MERGED).distinct()
+    found = right.join(left, on)
+    keys = right.select(*[f"_r_{k}" for k in CONSOLIDATED]).distinct()
+    alone = left.join(keys, on, "left_anti")
+    merged = found.unionByName(alone, allowMissingColumns=True)
+    return merged.withColumnRenamed("_l_affiliation", "affiliation").select(*MERGED).distinct()
 
 
 def affiliation_detail(rows: DataFrame, merged: DataFrame) -> DataFrame:

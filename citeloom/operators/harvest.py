@@ -91,6 +91,11 @@ def assign_slices(df: DataFrame, ts: str, interval: str = "minute") -> DataFrame
     return df.withColumns({"slice_start": start, "slice_end": end})
 
 
+def in_window(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
+    """Rows updated from start to end, both included."""
+    return df.where(F.col(ts).between(F.lit(start), F.lit(end)))
+
+
 def pending_slices(slices: DataFrame, found: DataFrame, prefix: str = SLICE_PREFIX) -> DataFrame:
     """Slices whose file is not among ``found(name)`` yet."""
     named = slices.withColumn("name", slice_name("slice_start", "slice_end", prefix))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.constants import (
@@ -186,6 +188,11 @@ def read_affiliations(
     return spark.read.csv(path, schema=", ".join(f"{n} string" for n in names), header=False)
 
 
+def union_tables(*parts: DataFrame) -> DataFrame:
+    """Partition tables as one, columns by name (parts in one folder are simply read together)."""
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_authors(spark: SparkSession, path: str) -> DataFrame:
     """Author dump (JSON lines), narrowed to national authors with enough works."""
     rows = spark.read.json(path, schema=AUTHOR_SCHEMA)

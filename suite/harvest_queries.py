@@ -169,6 +169,15 @@ MINUTES = f"(SELECT unnest(generate_series(a, b - INTERVAL 1 MINUTE, INTERVAL 1
 STAMP = "'%Y%m%d%H%M%S'"
 
 
+@query("events_in_window", "SELECT event_id FROM events WHERE ts BETWEEN (SELECT min(ts) FROM events) + INTERVAL 2 DAY AND (SELECT max(ts) FROM events) - INTERVAL 2 DAY")
+def _(spark, sf_dir):
+    rows = events(spark, sf_dir)
+    bounds = rows.agg(
+        F.timestamp_add("DAY", F.lit(2), F.min("ts")).alias("a"), F.timestamp_add("DAY", F.lit(-2), F.max("ts")).alias("b")
+    ).first()
+    return H.in_window(rows, "ts", bounds.a, bounds.b).select("event_id")
+
+
 @query(
     "time_slices",
     f"SELECT slice_start, slice_start + INTERVAL 1 HOUR AS slice_end, CAST(count(event_id) AS BIGINT) AS n_rows "
@@ -340,7 +349,7 @@ def _(spark, sf_dir):
     parts = [
         spark.read.parquet(f"{folder}/{name}").select(F.lit(name).alias("name")) for name in ("detailed", "consolidated")
     ]
-    return parts[0].unionByName(parts[1]).groupBy("name").agg(F.count("*").alias("n"))
+    return readers.union_tables(*parts).groupBy("name").agg(F.count("*").alias("n"))
 
 
 @query("read_authors", f"WITH {AUTHORS} SELECT author_key, CAST(count(*) AS BIGINT) AS n_years FROM authors GROUP BY 1")

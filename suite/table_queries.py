@@ -11,11 +11,11 @@ from citeloom.plans.jobs import build_catalogue
 from citeloom.sources.readers import national_authors
 from suite import views as v
 from suite.record_queries import (
-    FORMAT_LIST, GENRES, PERSONS, RECORDS, dois, joined, texts, typed_records, with_js,
+    FORMAT_LIST, GENRES, PERSONS, RECORDS, attribute, descriptions, dois, items, joined, typed_records, with_js,
 )
 from suite.registry import query
 from suite.text_queries import duck_normalize
-from suite.value_queries import CODES, DUCK_FOLD, DUCK_FORMAT, EDGE, WORDS
+from suite.value_queries import CODES, DUCK_FOLD, DUCK_FORMAT, DUCK_PUBLISHER, EDGE, WORDS, duck_size
 
 # ---------------------------------------------------------------- side tables
 
@@ -439,6 +439,40 @@ def catalogue_rows(spark, sf_dir) -> DataFrame:
     )
 
 
+SIZE_LIST = "coalesce(TRY_CAST(j->'$.attributes.sizes' AS VARCHAR[]), [])"
+SIZE_MB, SIZE_UNIT = duck_size("s")
+DETAILS = f"""sized AS (
+  SELECT doc_id, list_filter(list_transform({SIZE_LIST}, lambda s: CAST({SIZE_MB} AS DOUBLE)), lambda m: m <> 0) AS mbs,
+    list_filter(list_transform({SIZE_LIST}, lambda s: {SIZE_UNIT}), lambda u: u IS NOT NULL) AS units FROM rows),
+people AS (
+  SELECT doc_id, string_agg(concat_ws('@', role, full_name, orcid), '|' ORDER BY n) AS authors FROM named GROUP BY doc_id),
+part_of AS (
+  SELECT doc_id, array_to_string(list_transform(list_filter({items('relatedIdentifiers')}, lambda e: (e->>'$.relatedIdentifierType') = 'DOI' AND
+    (e->>'$.relationType') = 'IsPartOf'), lambda e: e->>'$.relatedIdentifier'), '|') AS subparts FROM rows)"""
+
+
+@query(
+    "catalogue_details",
+    with_js(PERSONS, RECORDS, SIDES.replace("people AS", "author_people AS").replace("FROM people", "FROM author_people"), SIGNALS, CATALOGUE, DETAILS)
+    + f"""SELECT 'doi' || id AS id, 'datacite@' || id AS external_ids, {DUCK_PUBLISHER.replace('publisher', 'publisher_raw')} AS publisher, {descriptions('Abstract')} || '@' || {attribute('language')} AS abstract,
+    {descriptions('Methods')} AS methods, {descriptions('Other')} AS description, coalesce(authors, '') AS authors, subparts,
+    CAST(list_sum(mbs) AS DOUBLE) AS size_total_mb, array_to_string(units, '|') AS units, len(mbs) > 0 AS has_size,
+    CASE WHEN len(mbs) = 0 THEN 'N/A' WHEN list_sum(mbs) < 1 THEN '< 1 Mo' WHEN list_sum(mbs) <= 10 THEN '1 - 10 Mo' WHEN list_sum(mbs) <= 100 THEN '10 - 100 Mo'
+    WHEN list_sum(mbs) <= 1000 THEN '100Mo - 1 Go' ELSE '>= 1 Go' END AS size_cat, {attribute('url')} AS url, {attribute('updated')} AS update_date,
+    array_to_string({dois('IsVersionOf')}, '|') AS version_of
+    FROM rows LEFT JOIN sized USING (doc_id) LEFT JOIN people USING (doc_id) LEFT JOIN part_of USING (doc_id)""",
+)
+def _(spark, sf_dir):
+    return catalogue_rows(spark, sf_dir).select(
+        "id", joined("external_ids", "id_type", "id_value").alias("external_ids"), "publisher",
+        joined("abstract", "abstract", "lang").alias("abstract"), "methods", "description",
+        joined("authors", "role", "full_name", "orcid").alias("authors"),
+        F.array_join(F.transform("subparts", lambda s: s["relatedIdentifier"]), "|").alias("subparts"),
+        "size_total_mb", F.array_join("units", "|").alias("units"), "has_size", "size_cat", "url", "update_date",
+        F.array_join("doi_version_of", "|").alias("version_of"),
+    )
+
+
 @query(
     "run_counters",
     with_js(PERSONS, RECORDS, SIDES, SIGNALS)

@@ -28,9 +28,7 @@ PUBLISHERS = (
 N = duck_normalize("publisher")
 
 
-@query(
-    "publisher_forms",
-    f"""SELECT doc_id, CASE
+DUCK_PUBLISHER = f"""CASE
     WHEN contains(lower(id), 'figshare') THEN 'figshare'
     WHEN contains({N}, 'cole des hautes etudes en sciences sociales') THEN 'EHESS'
     WHEN contains({N}, 'nakala') THEN 'NAKALA'
@@ -45,8 +43,10 @@ N = duck_normalize("publisher")
     WHEN contains(lower(publisher), 'fiz karlsruhe') THEN 'Inorganic Crystal Structure Database (ICSD)'
     WHEN contains(lower(publisher), 'sage journal') THEN 'SAGE'
     WHEN contains({N}, 'icos eric -- carbon portal') THEN 'ICOS ERIC - Carbon Portal'
-    ELSE publisher END AS canonical FROM ({PUBLISHERS})""",
-)
+    ELSE publisher END"""
+
+
+@query("publisher_forms", f"SELECT doc_id, {DUCK_PUBLISHER} AS canonical FROM ({PUBLISHERS})")
 def _(spark, sf_dir):
     rows = v.frame(spark, sf_dir, PUBLISHERS)
     return rows.select("doc_id", V.normalize_publisher("id", "publisher").alias("canonical"))
