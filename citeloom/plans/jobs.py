@@ -22,7 +22,7 @@ from citeloom.operators.registry import match_registry
 from citeloom.operators.signals import national_signals
 from citeloom.session import cut_lineage
 from citeloom.sources.readers import DUMP_PATTERN, dump_files, read_dump
-from citeloom.sources.sinks import write_by_institution, write_catalogue
+from citeloom.sources.sinks import write_affiliations, write_by_institution, write_catalogue
 
 
 def affiliation_tables(raw: DataFrame, origin: str = "origin_file") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -31,6 +31,18 @@ def affiliation_tables(raw: DataFrame, origin: str = "origin_file") -> tuple[Dat
     return detailed, consolidate(detailed), file_stats(raw, origin)
 
 
+def save_affiliation_tables(raw: DataFrame, path: str, origin: str = "origin_file", **options) -> DataFrame:
+    """Write the three tables below a folder and return the counts per file.
+
+    The text is parsed once: the few columns the tables need are written first.
+    """
+    kept = cut_lineage(raw.select("id", "publisher", "_client", "creators", "contributors", origin))
+    detailed, consolidated, statistics = affiliation_tables(kept, origin)
+    write_affiliations(detailed, consolidated, path, **options)
+    statistics.write.parquet(f"{path}/statistics", **options)
+    return raw.sparkSession.read.schema(statistics.schema).parquet(f"{path}/statistics")
+
+
 def build_catalogue(
     records: DataFrame,
     lookup: DataFrame,

@@ -29,8 +29,30 @@ def null_if_empty(df: DataFrame) -> DataFrame:
     )
 
 
+def renamed_type(kind: T.DataType, names: dict[str, str]) -> T.DataType:
+    """The type with fields renamed at every level."""
+    if isinstance(kind, T.StructType):
+        return T.StructType(
+            [
+                T.StructField(names.get(f.name, f.name), renamed_type(f.dataType, names), f.nullable)
+                for f in kind.fields
+            ]
+        )
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(renamed_type(kind.elementType, names), kind.containsNull)
+    return kind
+
+
 def rename_columns(df: DataFrame, names: dict[str, str] | None) -> DataFrame:
-    return df.withColumnsRenamed(names) if names else df
+    """Columns and nested fields under other names; a projection without any copying."""
+    if not names:
+        return df
+    return df.select(
+        *[
+            F.col(f"`{f.name}`").cast(renamed_type(f.dataType, names)).alias(names.get(f.name, f.name))
+            for f in df.schema.fields
+        ]
+    )
 
 
 def write_catalogue(
@@ -41,7 +63,8 @@ def write_catalogue(
 ) -> None:
     """Catalogue as gzipped JSON lines without null and empty fields.
 
-    ``names`` renames columns on the way out, for readers that expect other names.
+    ``names`` renames fields on the way out, nested ones too, for readers that expect other
+    names.
     """
     rename_columns(null_if_empty(df), names).write.json(path, mode=mode, compression="gzip")
 

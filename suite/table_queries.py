@@ -210,10 +210,10 @@ LINKS = (
 
 @query(
     "linked_publications_of_lines",
-    f"WITH {PUBS} SELECT rec_id, doi, CAST(len(rors) AS INTEGER) AS n_rors FROM (SELECT DISTINCT * FROM ({LINKS})) JOIN pubs ON doi = lower(identifier) WHERE relation = 'IsSupplementTo'",
+    f"WITH {PUBS} SELECT rec_id, doi, CAST(len(rors) AS INTEGER) AS n_rors FROM ({LINKS}) JOIN pubs ON doi = lower(identifier) WHERE relation = 'IsSupplementTo'",
 )
 def _(spark, sf_dir):
-    rows = v.frame(spark, sf_dir, LINKS).distinct()
+    rows = v.frame(spark, sf_dir, LINKS)
     related = F.array(
         F.struct(
             F.col("relation").alias("relationType"),

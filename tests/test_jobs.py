@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from citeloom.operators import affiliations as A, dedupe as D, harvest as H, lookups as L, registry as G, signals as S
-from citeloom.plans.jobs import catalogue_from_dump, save_catalogue, split_by_institution
+from citeloom.plans.jobs import catalogue_from_dump, save_affiliation_tables, save_catalogue, split_by_institution
 from citeloom.session import cut_lineage, shared_folder, spread
 from citeloom.sources import readers
 from citeloom.streaming import streams
@@ -112,9 +112,10 @@ def test_catalogue_from_dump(spark, tmp_path, sides):
     assert rows["10.1/ror"].fr_reasons == ["french_ror"] and rows["10.1/ror"].rors == ["0ab"]
     assert rows["10.1/notitle"].fr_reasons == ["affiliation_cea"] and rows["10.1/notitle"].natural_key is None
 
-    save_catalogue(catalogue, str(tmp_path / "out"), names={"local_affiliations": "labels"})
+    save_catalogue(catalogue, str(tmp_path / "out"), names={"local_affiliations": "labels", "doi": "number"})
     written = [json.loads(r.value) for r in spark.read.text(str(tmp_path / "out")).collect()]
-    linked = next(w for w in written if w["doi"] == "10.1/linked")
+    linked = next(w for w in written if w["number"] == "10.1/linked")
+    assert linked["fr_publications_linked"][0]["number"] == "10.7/a"
     assert linked["labels"] == ["lyon", "brest"] and "licenses" not in linked and linked["format_raw"] == [""]
 
     ids = spark.createDataFrame([("lyon",), ("brest",), ("caen",)], "institution string")
@@ -224,6 +225,19 @@ def test_institution_lists(spark, tmp_path):
     }
 
 
+def test_save_affiliation_tables(spark, tmp_path):
+    page = {"data": [doi("10.1/A", "t", creators=[person("P", "Lab"), person("Q")]), doi("10.1/b", "t", creators=[])]}
+    (tmp_path / "p.ndjson").write_text(json.dumps(page) + "\n" + json.dumps(page) + "\n")
+    raw = readers.read_envelope(spark, str(tmp_path / "p.ndjson"))
+    counts = save_affiliation_tables(raw, str(tmp_path / "out")).first()
+    assert (counts.number_of_dois, counts.number_of_dois_with_null_attributes, counts.number_of_non_null_dois) == (4, 2, 2)
+    assert spark.read.parquet(str(tmp_path / "out/detailed")).count() == 4
+    consolidated = spark.read.parquet(str(tmp_path / "out/consolidated")).collect()
+    assert sorted((r.doi_publisher, r.doi_client_id, r.affiliation) for r in consolidated) == [
+        ("dryad", "cern.zenodo", ""), ("dryad", "cern.zenodo", "lab"),
+    ]
+
+
 def test_registry_files(spark, tmp_path):
     orgs = [
         {"id": "https://ror.org/0X", "admin": {"last_modified": {"schema_version": "2.1"}}, "locations": [{"geonames_details": {"country_code": c}}]}
