@@ -6,6 +6,7 @@ all stay on the JVM inside the scan stage.
 
 from __future__ import annotations
 
+import string
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -116,12 +117,24 @@ def ascii_fold(c: Column | str) -> Column:
     return F.lower(F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c))
 
 
-def _bare_text(c: Column) -> Column:
-    """Control characters gone, ideographs spaced, no accents, lower case."""
-    c = F.regexp_replace(c, r"[\t\n\r\p{Zs}]", " ")
-    c = F.regexp_replace(c, r"[\p{Cc}\p{Cf}\p{Co}\p{Cn}\x{FFFD}]", "")
-    c = F.regexp_replace(c, f"({IDEOGRAPHS})", " $1 ")
-    return F.lower(strip_accents(c))
+@lru_cache(maxsize=None)
+def _bare_map(blank: str) -> tuple[str, str]:
+    """The accent map, with white space and some more characters going to a blank."""
+    source, target = _accent_map()
+    spaces = [chr(p) for p in range(0x10000) if chr(p) in "\t\n\r" or unicodedata.category(chr(p)) == "Zs"]
+    pairs = dict.fromkeys([*spaces, *blank], " ")
+    pairs.update((s, " " if t in blank else t) for s, t in zip(source, target) if s not in pairs)
+    return "".join(pairs), "".join(pairs.values())
+
+
+def _bare_text(c: Column, blank: str) -> Column:
+    """No accents, control characters gone, some characters blank, ideographs spaced, lower case.
+
+    One translation, one removal and one spacing pass over the text.
+    """
+    c = F.translate(c, *_bare_map(blank))
+    c = F.regexp_replace(c, r"[\p{Mn}\p{Cc}\p{Cf}\p{Co}\p{Cn}\x{FFFD}]+", "")
+    return F.lower(F.regexp_replace(c, f"({IDEOGRAPHS})", " $1 "))
 
 
 def _tokens(c: Column) -> Column:
@@ -133,7 +146,7 @@ def normalize(c: Column | str, min_length: int = 0) -> Column:
 
     With ``min_length`` shorter tokens go, unless they are a run of digits.
     """
-    tokens = _tokens(F.regexp_replace(_bare_text(as_column(c)), r"[<>$]", " "))
+    tokens = _tokens(_bare_text(as_column(c), "<>$"))
     if min_length:
         tokens = F.filter(
             tokens,
@@ -144,7 +157,7 @@ def normalize(c: Column | str, min_length: int = 0) -> Column:
 
 def normalize_key(c: Column | str, remove_space: bool = True, min_length: int = 0) -> Column:
     """Like :func:`normalize` without punctuation and, by default, without blanks; null gives ''."""
-    tokens = _tokens(F.regexp_replace(_bare_text(as_column(c)), PUNCTUATION, " "))
+    tokens = _tokens(_bare_text(as_column(c), string.punctuation))
     if min_length:
         tokens = F.filter(tokens, lambda t: F.char_length(t) > min_length)
     joined = F.array_join(tokens, "" if remove_space else " ")

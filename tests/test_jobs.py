@@ -180,6 +180,55 @@ def test_join_of_a_hot_probe_key(spark):
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64MB")
 
 
+SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture()
+def small_limits(spark):
+    """Settings under which small data looks skewed."""
+    before = {k: spark.conf.get(k, None) for k in SKEW}
+    for k, x in SKEW.items():
+        spark.conf.set(k, x)
+    yield
+    for k, x in before.items():
+        spark.conf.unset(k) if x is None else spark.conf.set(k, x)
+
+
+def test_hot_lookup_key_is_split(spark, small_limits):
+    relation = F.array(
+        F.struct(
+            F.lit("IsSupplementTo").alias("relationType"),
+            F.expr("CASE WHEN id % 3 = 0 THEN '10.7/HOT' ELSE '10.7/' || id END").alias("relatedIdentifier"),
+            F.lit("DOI").alias("relatedIdentifierType"),
+        )
+    )
+    records = spark.range(0, 150_000, numPartitions=8).select(F.col("id").alias("rec_id"), relation.alias("related"))
+    pubs = spark.range(1000).selectExpr(
+        "CASE id WHEN 0 THEN '10.7/hot' ELSE '10.7/' || id END AS doi", "array('1') AS rors", "array('x') AS local_affiliations"
+    )
+    found = S.linked_publications(records, pubs)
+    assert len(found.collect()) == 50_000 + 999 - 333
+    assert "SortMergeJoin(skew=true)" in plan_of(found)
+
+
+def test_hot_missing_affiliation_is_split(spark, small_limits):
+    detailed = spark.range(0, 150_000, numPartitions=8).selectExpr(
+        "'10.1/' || id AS doi_id", "'f' || id AS doi_file_name", "'creators' AS type", "'n' AS name",
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE 'p' || (id % 1000) END AS doi_publisher", "CAST(NULL AS STRING) AS doi_client_id",
+        "CASE WHEN id % 3 = 0 THEN '' ELSE 'lab ' || (id % 1000) END AS affiliation", "'o' AS origin_file",
+    )
+    results = spark.createDataFrame([("ror", "lab 1", ["1"])], "match_type string, query string, results array<string>")
+    merged = A.merge_affiliations(A.match_affiliations(A.consolidate(detailed), results), detailed).select("doi")
+    assert len(merged.collect()) == 150_000
+    assert "SortMergeJoin(skew=true)" in plan_of(merged)
+
+
 def test_no_nested_loop_joins(spark, sf_dir):
     from suite.all_queries import QUERIES
 
