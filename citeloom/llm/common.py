@@ -25,3 +25,13 @@ def remainder(doc_id: Column, n: int) -> Column:
 def alive(docs: DataFrame, kept: DataFrame, id_col: str, kept_col: str) -> DataFrame:
     """The rows of ``docs`` whose id is among the kept ids; a null id equals a null id."""
     return docs.join(kept, docs[id_col].eqNullSafe(kept[kept_col]), "left_semi")
+
+
+def learnable(labels: DataFrame, limit: int, column: str) -> DataFrame:
+    """Labels to learn from (labelled, label): known, not held out, at most ``limit``, in the order of a hash.
+
+    Every fifth id by ``remainder`` is held out.
+    """
+    rows = labels.where((remainder(F.col("doc_id"), 5) != 0) & F.col(column).isin(0, 1) & F.col("doc_id").isNotNull())
+    rows = rows.select(F.col("doc_id").alias("labelled"), F.col(column).cast("int").alias("label"))
+    return rows.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(limit)

@@ -161,7 +161,7 @@ win AS (SELECT n, s, part, least, unnest(range(0, length(part) - {w - 1})) AS i
 high AS (
   SELECT n, s, min(i) AS f, max(i) + {w} AS l FROM win
   WHERE list_sum(list_transform(map_values(list_histogram(string_split(substr(part, (i + 1)::INT, {w}), ''))),
-    lambda x: {terms}[(x + 1)::INT])) <= floor(({math.log2(w)!r} - least) * {w} * {secrets.MILLIONTHS})::BIGINT
+    lambda x: {terms}[(x + 1)::INT])) <= floor(({math.log2(w)!r}::DOUBLE - least::DOUBLE) * {w} * {secrets.MILLIONTHS})::BIGINT
   GROUP BY n, s
 ), spans AS (
   SELECT n, x.s AS s, 0 AS k, x.e AS e, 'assign' AS kind FROM (SELECT n, unnest(a) AS x FROM b)

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import exact_dedup, licenses, mixing, native_sql, secrets, url_filter
-from citeloom.llm.common import read
+from citeloom.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    licenses,
+    mixing,
+    native_sql,
+    ngram_join,
+    quality,
+    secrets,
+    toxicity,
+    url_filter,
+)
+from citeloom.llm.common import read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,14 +43,35 @@ def mix_domain() -> Column:
     return F.concat(F.lit("d"), (number % 4).cast("string"))
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(read(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "start", "equal", "stretch", "n_hits")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    learned = language_id.learn_profiles(docs.where(~held_out))
+    return language_id.predict_languages(docs, learned).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.severities(docs, toxicity.fit_severity(docs, read(spark, sf_dir, "labels")))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), url_filter.rule_table(spark, URL_RULES))
 
@@ -48,15 +81,27 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select(F.col("row.doc_id").alias("doc_id"), *mixing.LEVELS, "tokens", "copies")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    scores = quality.quality_scores(docs, quality.fit_quality(docs, read(spark, sf_dir, "labels")))
+    held_out = (remainder(F.col("doc_id"), 5) == 0).alias("held_out")
+    return scores.select("doc_id", held_out, "score", quality.is_kept(F.col("score")).cast("int").alias("predicted"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontaminate": op3_decontaminate,
+    "op4_language_id": op4_language_id,
     "op5_license_scan": op5_license_scan,
+    "op6_toxicity": op6_toxicity,
     "op7_url_filter": op7_url_filter,
     "op8_mixing": op8_mixing,
+    "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
 }
 

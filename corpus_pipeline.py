@@ -1,21 +1,40 @@
-"""A corpus pipeline out of the operators in ``citeloom.llm``: filter, dedup, decontaminate, mix."""
+"""A corpus pipeline out of the operators in ``citeloom.llm``: filter, dedup, decontaminate, mix.
+
+Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return
+the columns of ``docs``, whatever they are.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from citeloom.llm import exact_dedup, mixing
+from citeloom.llm import decontaminate, exact_dedup, mixing, ngram_join, quality
 from citeloom.llm.common import read
 from citeloom.llm.queries import MIX_EPOCHS, MIX_PART, MIX_SEED, MIX_WEIGHTS, mix_domain
 from citeloom.session import cut_lineage
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, fitted on labelled documents of the input, does not reject."""
+    return quality.drop_poor(docs, quality.fit_quality(docs, read(spark, sf_dir, "labels")))
+
+
+def exact_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id."""
     return exact_dedup.drop_copies(docs)
 
 
+def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near duplicates the document with the smallest id."""
+    return ngram_join.drop_near_copies(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no passage of the benchmark."""
+    return decontaminate.without_overlaps(docs, read(spark, sf_dir, "benchmark"))
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, with domain, tokens and the number of copies to train on."""
     taken = mixing.mix(docs, MIX_PART, MIX_WEIGHTS, mix_domain(), MIX_EPOCHS, MIX_SEED).where("copies > 0")
@@ -23,16 +42,19 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("exact", exact),
-    ("mixed", mixed),
+    ("quality", good_quality),
+    ("exact_dedup", exact_once),
+    ("ngram_join", near_once),
+    ("decontaminate", decontaminated),
+    ("mixing", mixed),
 ]
 
-# The quality stage is a trained sequence model, which SQL cannot express.
+# The first stage is a trained sequence model, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each over all its predecessor kept."""
+    """All stages over ``documents``; each result but the last is written and read back."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
         docs = cut_lineage(stage(spark, docs, sf_dir))
