@@ -7,6 +7,7 @@ all stay on the JVM inside the scan stage.
 from __future__ import annotations
 
 import string
+import sys
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
@@ -16,7 +17,10 @@ from pyspark.sql import Column, functions as F, types as T
 from citeloom.constants import ELIDED_ARTICLES
 
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
-IDEOGRAPHS = r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{F900}-\x{FAFF}]"
+IDEOGRAPHS = (
+    r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{F900}-\x{FAFF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
+    r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{2F800}-\x{2FA1F}]"
+)
 
 
 def as_column(c: Column | str) -> Column:
@@ -58,7 +62,7 @@ def _is_ideograph(char: str) -> bool:
 def _accent_map() -> tuple[str, str]:
     """Characters whose canonical decomposition without marks is one other character."""
     source, target = [], []
-    for point in range(0x80, 0x10000):
+    for point in range(0x80, sys.maxunicode + 1):
         char = chr(point)
         if 0xD800 <= point <= 0xDFFF or _is_ideograph(char):
             continue
@@ -75,7 +79,7 @@ def _accent_map() -> tuple[str, str]:
 def _ascii_map() -> tuple[str, str, dict[str, str]]:
     """Compatibility decompositions to ASCII: one-to-one pairs, and longer expansions."""
     source, target, expanded = [], [], {}
-    for point in range(0x80, 0x10000):
+    for point in range(0x80, sys.maxunicode + 1):
         if 0xD800 <= point <= 0xDFFF:
             continue
         text = unicodedata.normalize("NFKD", chr(point)).encode("ascii", "ignore").decode()

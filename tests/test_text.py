@@ -2,6 +2,7 @@
 
 import re
 import string
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -42,6 +43,21 @@ def test_normalize_whole_documents_against_tokenizer(spark, sf_dir):
     assert all(r.n == wordpiece_normalize(r.text) for r in rows)
 
 
+def test_signs_above_the_first_plane_against_tokenizer(spark):
+    signs = [0x1D402, 0x1D4DD, 0x1D7CE, 0x1F130, 0x1F1E6, 0x10400, 0x1109A, 0x1E921, 0x2F800, 0x2F9F4, *range(0x20000, 0x2CEB0, 997)]
+    texts = [f"a{chr(point)}b" for point in signs]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", X.normalize("t").alias("n")).collect()
+    assert {r.t: r.n for r in rows} == {t: wordpiece_normalize(t) for t in texts}
+
+
+def test_every_sign_folds_to_ascii(spark):
+    points = [p for p in range(0x80, 0x110000) if not 0xD800 <= p <= 0xDFFF and unicodedata.category(chr(p)) not in ("Cn", "Co")]
+    points = [p for p in points if unicodedata.normalize("NFKD", chr(p)) != chr(p)]
+    rows = spark.createDataFrame([(f"x{chr(p)}y",) for p in points], "t string").select("t", X.ascii_fold("t").alias("n"))
+    expected = lambda t: unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode().lower()
+    assert [(r.t, r.n) for r in rows.collect() if r.n != expected(r.t)] == []
+
+
 def test_normalize_min_length(spark):
     assert value(spark, X.normalize(F.lit("ab abc 1 12 x345"), 2)) == "abc 1 12 x345"
 
