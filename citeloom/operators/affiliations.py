@@ -75,9 +75,12 @@ def file_stats(raw: DataFrame, origin: str = "origin_file") -> DataFrame:
 
 
 def pivot_results(results: DataFrame) -> DataFrame:
-    """Match results ``(match_type, query, results)`` as one row per query with an array per type."""
+    """Match results ``(match_type, query, results)`` as one row per query with an array per type.
+
+    Of several results for one query and type the first by value is taken.
+    """
     return results.groupBy("query").agg(
-        *[F.first(F.when(F.col("match_type") == t, F.col("results")), ignorenulls=True).alias(t) for t in MATCH_TYPES]
+        *[F.min(F.when(F.col("match_type") == t, F.col("results"))).alias(t) for t in MATCH_TYPES]
     )
 
 

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from citeloom.constants import NOISE_REASONS, NOISE_TYPE, PART_WORDS
+from citeloom.constants import PART_WORDS
 from citeloom.functions.records import authors, external_ids, record_affiliations, related_dois
 from citeloom.functions.values import genre_features, normalize_format, normalize_publisher, size_features
 
@@ -21,15 +21,6 @@ CATALOGUE_COLUMNS = [
 ]
 
 
-def drop_noise(df: DataFrame) -> DataFrame:
-    """Images known by client and publisher alone go."""
-    return df.where((F.col("fr_reasons_concat") != NOISE_REASONS) | (F.col("genre_raw") != NOISE_TYPE))
-
-
-def with_reason(df: DataFrame) -> DataFrame:
-    return df.where(F.size("fr_reasons") > 0)
-
-
 def is_part(genre_detail: Column) -> Column:
     return reduce(Column.__or__, [F.contains(genre_detail, F.lit(word)) for word in PART_WORDS])
 
@@ -79,15 +70,21 @@ def add_structures(catalogue: DataFrame, structures: DataFrame) -> DataFrame:
     return structures.unionByName(catalogue, allowMissingColumns=True)
 
 
-def run_counters(df: DataFrame, by: str) -> DataFrame:
-    """Rows and rows per reason kind of each file."""
+def run_counters(records: DataFrame, reasons: DataFrame, kept: DataFrame, by: str, row_id: str = "rec_id") -> DataFrame:
+    """Rows, rows per reason kind, and rows kept, of each file.
+
+    ``records`` are those not skipped as version copies, ``reasons`` the narrow table of
+    ``national_reasons`` and ``kept`` the records that become catalogue rows.
+    """
 
     def having(reason: str) -> Column:
         return F.count_if(F.array_contains("fr_reasons", reason))
 
-    return df.groupBy(by).agg(
+    counted = records.select(row_id, by).join(reasons.select(row_id, "fr_reasons"), row_id, "left").groupBy(by).agg(
         F.count("*").alias("n_rows"),
         having("country").alias("n_country"),
         having("publisher").alias("n_publisher"),
         having("clientId").alias("n_client"),
     )
+    written = kept.groupBy(by).agg(F.count("*").alias("n_kept"))
+    return counted.join(written, by, "left").fillna(0, ["n_kept"])

@@ -126,12 +126,19 @@ def slice_coverage(
     )
 
 
+def first_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows with equal keys the first by the values of all columns, in their order."""
+    return df.groupBy(*keys).agg(F.min(F.struct(*df.columns)).alias("_first")).select("_first.*")
+
+
 def register_job(state: DataFrame, new: DataFrame, force: bool = False) -> DataFrame:
     """New jobs that may start: none of the same directory and dates exists without error.
 
-    A job in a known directory takes over the slice type of the first job there.
+    Of equal new jobs the one with the smallest id starts, unless ``force`` lets all of them. A
+    job in a known directory takes over the slice type of the first job there.
     """
     keys = ["current_directory", "start_date", "end_date"]
+    new = new if force else first_rows(new, keys)
     accepted = new if force else new.join(state.where("status != 'error'").select(*keys), keys, "left_anti")
     first = state.groupBy("current_directory").agg(F.min_by("slice_type", "id").alias("_first"))
     return (
@@ -176,7 +183,8 @@ def update_state(state: DataFrame, values: dict, where: dict | None = None) -> D
 
 
 def register_files(state: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows of files whose name is not registered yet."""
+    """Rows of files whose name is not registered yet, each name once."""
+    files = first_rows(files, ["file_name"])
     return files.join(state.select("file_name"), "file_name", "left_anti").select(*files.columns)
 
 

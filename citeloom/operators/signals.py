@@ -17,7 +17,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.constants import (
     AFFILIATION_KEYWORDS,
@@ -25,6 +27,8 @@ from citeloom.constants import (
     EXCLUDED_FULL_NAMES_PUBLISHER,
     EXCLUDED_LAST_NAMES,
     NAME_KEYWORDS,
+    NOISE_REASONS,
+    NOISE_TYPE,
 )
 from citeloom.functions.records import affiliation_list, empty_array, identifiers, text_only
 from citeloom.functions.text import let, normalize, plain_word, string_array, string_map
@@ -39,6 +43,7 @@ REASONS = {
 }
 PROBE = "struct<signal:string,source:string,key:string,year:int,pos:int,sub:int>"
 NO_YEAR = 0
+LOOKUP = "source string, key string, year int, rors array<string>, local_affiliations array<string>"
 
 
 # ---------------------------------------------------------------- in-record signals
@@ -254,10 +259,9 @@ def lookup_table(
                 none.alias("local_affiliations"),
             )
         )
-    table = parts[0]
-    for part in parts[1:]:
-        table = table.unionByName(part)
-    return table
+    if not parts:
+        return SparkSession.active().createDataFrame([], LOOKUP)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def probe_hits(records: DataFrame, probes: Column, lookup: DataFrame, row_id: str = "rec_id") -> DataFrame:
@@ -326,80 +330,98 @@ def collect_reasons(reasons: Column) -> Column:
     return F.array_sort(F.array_distinct(reasons))
 
 
-def national_signals(
+def national_reasons(
     records: DataFrame,
     lookup: DataFrame,
     row_id: str = "rec_id",
     ror_on: str = "creator",
     last_names: list[str] | None = None,
-    cut: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Records with reasons, organisation ids and the lists behind them.
+    """``(row_id, genre_raw, fr_reasons, fr_reasons_concat, hits)`` of the records that have a reason.
 
-    ``records`` is the typed record table; ``lookup`` comes from :func:`lookup_table`.
-    Found entries are few next to the records. ``cut`` may write their table, so that its
-    true size is known when it meets the wide records: a small one is then broadcast, and
-    the wide side is not shuffled at all.
+    Everything here is narrow: what a record says itself (keywords, publisher, client) and what it
+    finds in the side tables become rows of one small table, gathered once per record.
     """
     c = F.col
+    hit = "struct<signal:string,pos:int,sub:int,key:string,rors:array<string>,local_affiliations:array<string>>"
+    names = normalized_names(c("people"))
     probes = F.concat(
         publication_probes(c("related")),
         orcid_probes(c("people"), c("lookup_year")),
-        name_probes(c("_names"), c("lookup_year"), c("publisher_text"), last_names),
-        organisation_probes(c("_rors")),
+        name_probes(names, c("lookup_year"), c("publisher_text"), last_names),
+        organisation_probes(record_rors(c("people"), ror_on)),
     )
-    narrow = records.select(
+    found = probe_hits(records, probes, lookup, row_id).select(
         row_id,
-        "people",
-        "related",
-        "lookup_year",
-        "publisher_text",
-        normalized_names(c("people")).alias("_names"),
-        record_rors(c("people"), ror_on).alias("_rors"),
+        F.struct("signal", "pos", "sub", "key", "rors", "local_affiliations").alias("hit"),
+        empty_array("string").alias("own"),
+        F.lit(None).cast("string").alias("genre_raw"),  # only records with own reasons can be noise
     )
-    hits = gather_hits(probe_hits(narrow, probes, lookup, row_id), row_id)
-    hits = cut(hits) if cut else hits
-
-    named = records.withColumns(
-        {
-            "_own": F.concat(
-                name_keyword_reasons(normalized_names(c("people"))),
-                affiliation_keyword_reasons(affiliation_text(c("people"))),
-                publisher_reasons(c("publisher_raw"), c("client_id")),
-            ),
-            "_rors": record_rors(c("people"), ror_on),
-        }
+    own = F.concat(
+        name_keyword_reasons(names),
+        affiliation_keyword_reasons(affiliation_text(c("people"))),
+        publisher_reasons(c("publisher_raw"), c("client_id")),
+    )
+    said = records.select(row_id, F.lit(None).cast(hit).alias("hit"), own.alias("own"), "genre_raw")
+    said = said.where(F.size("own") > 0)
+    # lists are bounded by the record, from whose arrays they came
+    gathered = found.unionByName(said).groupBy(row_id).agg(
+        F.array_sort(F.collect_list("hit")).alias("hits"),
+        F.flatten(F.collect_list("own")).alias("own"),
+        F.max("genre_raw").alias("genre_raw"),
     )
-    hit_kind = "struct<signal:string,pos:int,sub:int,key:string,rors:array<string>,local_affiliations:array<string>>"
-    found = named.join(hits, row_id, "left").withColumn("hits", F.coalesce("hits", empty_array(hit_kind)))
     reason = string_map(REASONS)
-    reasons = collect_reasons(
-        F.concat(c("_own"), F.transform("hits", lambda h: reason[h["signal"]]))
+    reasons = collect_reasons(F.concat(c("own"), F.transform("hits", lambda h: reason[h["signal"]])))
+    return gathered.withColumn("fr_reasons", reasons).select(
+        row_id, "genre_raw", "fr_reasons", F.array_join("fr_reasons", ";").alias("fr_reasons_concat"), "hits"
     )
-    rors = F.concat(c("_rors"), F.flatten(F.transform("hits", lambda h: h["rors"])))
+
+
+def drop_noise(df: DataFrame) -> DataFrame:
+    """Images known by client and publisher alone go."""
+    return df.where((F.col("fr_reasons_concat") != NOISE_REASONS) | (F.col("genre_raw") != NOISE_TYPE))
+
+
+def national_signals(
+    records: DataFrame,
+    lookup: DataFrame,
+    row_id: str = "rec_id",
+    ror_on: str = "creator",
+    last_names: list[str] | None = None,
+    cut: Callable[[DataFrame], DataFrame] | None = None,
+    reasons: DataFrame | None = None,
+) -> DataFrame:
+    """The national records with reasons, organisation ids and the lists behind them.
+
+    ``records`` is the typed record table; ``lookup`` comes from :func:`lookup_table`. Reasons are
+    settled in a narrow table first (:func:`national_reasons`, or the one given), and the wide
+    records meet it in an inner join. National records are few next to the records of the world.
+    ``cut`` may write the narrow table, so that its true size is known: a small one is then
+    broadcast and no wide record is shuffled; for a larger one Spark may prune the wide side by a
+    filter before the shuffle.
+    """
+    c = F.col
+    if reasons is None:
+        reasons = national_reasons(records, lookup, row_id, ror_on, last_names)
+        reasons = cut(reasons) if cut else reasons
+    found = records.join(drop_noise(reasons).drop("genre_raw"), row_id)
+    rors = F.concat(record_rors(c("people"), ror_on), F.flatten(F.transform("hits", lambda h: h["rors"])))
     local = F.flatten(F.transform("hits", lambda h: h["local_affiliations"]))
-    return (
-        found.withColumns(
-            {
-                "fr_reasons": reasons,
-                "rors": F.array_sort(F.array_distinct(rors)),
-                "local_affiliations_from_publications": F.array_sort(F.array_distinct(local)),
-                "fr_publications_linked": linked(c("hits")),
-                "fr_authors_orcid": F.transform(
-                    hits_of(c("hits"), ORCID),
-                    lambda h: F.struct(
-                        F.try_element_at(c("people"), h["pos"] + 1)["person"].alias("author"),
-                        h["rors"].alias("rors"),
-                    ),
-                ),
-                "fr_authors_name": F.transform(
-                    hits_of(c("hits"), NAME),
-                    lambda h: F.struct(
-                        F.struct(h["key"].alias("name")).alias("author"), h["rors"].alias("rors")
-                    ),
+    return found.withColumns(
+        {
+            "rors": F.array_sort(F.array_distinct(rors)),
+            "local_affiliations_from_publications": F.array_sort(F.array_distinct(local)),
+            "fr_publications_linked": linked(c("hits")),
+            "fr_authors_orcid": F.transform(
+                hits_of(c("hits"), ORCID),
+                lambda h: F.struct(
+                    F.try_element_at(c("people"), h["pos"] + 1)["person"].alias("author"),
+                    h["rors"].alias("rors"),
                 ),
-            }
-        )
-        .withColumn("fr_reasons_concat", F.array_join("fr_reasons", ";"))
-        .drop("_own", "_rors", "hits")
-    )
+            ),
+            "fr_authors_name": F.transform(
+                hits_of(c("hits"), NAME),
+                lambda h: F.struct(F.struct(h["key"].alias("name")).alias("author"), h["rors"].alias("rors")),
+            ),
+        }
+    ).drop("hits")

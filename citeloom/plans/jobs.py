@@ -11,11 +11,9 @@ from citeloom.operators.affiliations import consolidate, explode_affiliations, f
 from citeloom.operators.catalogue import (
     add_structures,
     catalogue_row,
-    drop_noise,
     drop_parts,
     with_genre,
     with_institutions,
-    with_reason,
 )
 from citeloom.operators.dedupe import drop_version_copies, file_batches, keep_first
 from citeloom.operators.registry import match_registry
@@ -43,7 +41,7 @@ def save_affiliation_tables(raw: DataFrame, path: str, origin: str = "origin_fil
     return raw.sparkSession.read.schema(statistics.schema).parquet(f"{path}/statistics")
 
 
-def build_catalogue(
+def kept_records(
     records: DataFrame,
     lookup: DataFrame,
     *,
@@ -51,29 +49,41 @@ def build_catalogue(
     order: list[Column | str],
     batches: DataFrame | None = None,
     row_id: str = "rec_id",
-    lists: DataFrame | None = None,
-    structures: DataFrame | None = None,
     ror_on: str = "creator",
-    fix_units: bool = False,
     last_names: list[str] | None = None,
     cut: Callable[[DataFrame], DataFrame] | None = None,
+    reasons: DataFrame | None = None,
 ) -> DataFrame:
-    """The catalogue out of typed records (``record_columns``) and side tables.
+    """The records that become catalogue rows, with their signals and genre.
 
     Cheap rejects come first, national records are few, and only those go through the
     keep-first shuffle. Parts are dropped after keep-first, as a dropped part may stand
     for later rows of the same key.
 
     ``batches`` (of :func:`file_batches`) adds batch and rank of the file of a record, late,
-    to the few rows that need it. ``cut`` writes the table of found side-table entries on
-    the way (see :func:`national_signals`).
+    to the few rows that need it. ``cut`` writes the narrow table of reasons on the way (see
+    :func:`national_signals`).
     """
-    signalled = national_signals(drop_version_copies(records), lookup, row_id, ror_on, last_names, cut)
-    accepted = with_reason(drop_noise(signalled))
+    accepted = national_signals(drop_version_copies(records), lookup, row_id, ror_on, last_names, cut, reasons)
     if batches is not None:
-        accepted = accepted.join(batches, "file_path")
-    kept = keep_first(accepted, "natural_key", batch, order, row_id)
-    catalogue = catalogue_row(drop_parts(with_genre(kept)), fix_units)
+        accepted = with_batches(accepted, batches)
+    return drop_parts(with_genre(keep_first(accepted, "natural_key", batch, order, row_id)))
+
+
+def build_catalogue(
+    records: DataFrame,
+    lookup: DataFrame,
+    *,
+    lists: DataFrame | None = None,
+    structures: DataFrame | None = None,
+    fix_units: bool = False,
+    **keeping,
+) -> DataFrame:
+    """The catalogue out of typed records (``record_columns``) and side tables.
+
+    ``keeping`` goes to :func:`kept_records`.
+    """
+    catalogue = catalogue_row(kept_records(records, lookup, **keeping), fix_units)
     if lists is not None:
         catalogue = with_institutions(catalogue, lists)
     else:
@@ -84,31 +94,39 @@ def build_catalogue(
 
 
 def catalogue_from_dump(
-    spark: SparkSession, root: str, lookup: DataFrame, pattern: str = DUMP_PATTERN, **options
+    spark: SparkSession,
+    root: str,
+    lookup: DataFrame,
+    pattern: str = DUMP_PATTERN,
+    partitions: int | None = None,
+    **options,
 ) -> DataFrame:
     """Read a dump, cut the lineage once at the typed records, build the catalogue.
 
     The cut parses the text once although two branches read the records, fixes the ids of
-    the lines, and lets each branch read only the columns it needs.
+    the lines, and lets each branch read only the columns it needs. Version copies are left
+    out before. Wrap the job in ``session.temporary_cuts`` to remove the copy at its end.
     """
     keep = ("rec_id", "file_path", "file_block", "line_no")
-    raw = read_dump(spark, root, pattern).withColumn("file_path", same_path("file_path"))
-    records = cut_lineage(record_columns(raw, keep=keep))
-    files = dump_files(spark, root, pattern).select(same_path("file_path").alias("file_path"))
+    raw = read_dump(spark, root, pattern, partitions)
+    records = cut_lineage(drop_version_copies(record_columns(raw, keep=keep)))
     return build_catalogue(
         records,
         cut_lineage(lookup),
         batch=["batch"],
         order=["file_rank", "file_block", "line_no"],
-        batches=file_batches(files),
+        batches=file_batches(dump_files(spark, root, pattern)),
         cut=cut_lineage,
         **options,
     )
 
 
-def same_path(path: str) -> Column:
-    """File URIs come as ``file:/x`` or ``file:///x`` depending on the source."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
+def with_batches(records: DataFrame, batches: DataFrame) -> DataFrame:
+    """Batch and rank of the file of each record; a record of an unlisted file stops the job."""
+    joined = records.join(batches, "file_path", "left")
+    unlisted = F.raise_error(F.concat(F.lit("no batch for the file "), F.coalesce("file_path", F.lit("null"))))
+    known = [F.coalesce(F.col(c), unlisted.cast("long")).alias(c) for c in ("file_rank", "batch")]
+    return joined.select(*[c for c in joined.columns if c not in ("file_rank", "batch")], *known)
 
 
 def split_by_institution(catalogue: DataFrame, ids: DataFrame, path: str, **options) -> None:

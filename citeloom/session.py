@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,10 @@ SETTINGS = {
 }
 
 
+# folders named by this process, so that a job can remove its own
+_made: list[str] = []
+
+
 def session(app: str = "citeloom", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings the jobs are made for; partitions are left to the cluster."""
     builder = SparkSession.builder.appName(app)
@@ -42,7 +48,9 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder all executors share")
         base = tempfile.mkdtemp(prefix="citeloom-")
-    return f"{base.rstrip('/')}/citeloom-{uuid.uuid4()}"
+    folder = f"{base.rstrip('/')}/citeloom-{uuid.uuid4()}"
+    _made.append(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -56,11 +64,26 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan dealt out over all cores when it has fewer splits than there are cores.
+@contextmanager
+def temporary_cuts(spark: SparkSession) -> Iterator[None]:
+    """Folders that ``cut_lineage`` writes inside the block are removed when the block ends.
+
+    Frames that read them must be used up, or written, before that.
+    """
+    first = len(_made)
+    try:
+        yield
+    finally:
+        for folder in _made[first:]:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        del _made[first:]
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """A scan dealt out over so many tasks, as it is without a number.
 
-    Meant for scans (of gzip files, which do not split, or of few row groups) before costly
-    expressions. With as many splits as cores, as in any large input, nothing is shuffled.
+    Meant for a few files that do not split (gzip, or one row group) before costly expressions;
+    a large dump has more files than there are cores and needs no such shuffle.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df if partitions is None else df.repartition(partitions)

@@ -83,23 +83,26 @@ def broken_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def read_dump(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> DataFrame:
+def read_dump(
+    spark: SparkSession, root: str, pattern: str = DUMP_PATTERN, partitions: int | None = None
+) -> DataFrame:
     """Raw records of a flat dump: gzipped files in ``updated*`` folders, one record per line.
 
     ``rec_id`` names a line. It is stable only for one reading of the files: write or
-    checkpoint the parsed table before using it on both sides of a join.
+    checkpoint the parsed table before using it on both sides of a join. A gzip file is one
+    task; ``partitions`` deals the lines of a few large ones out before they are parsed.
     """
     lines = text_lines(spark, f"{root}/{pattern}").withColumn(
         "rec_id", F.concat_ws("#", "file_path", "file_block", "line_no")
     )
-    # gzip files are one task each: deal the lines out before they are parsed
-    return parse_records(spread(lines), keep=("rec_id", "file_path", "file_block", "line_no"))
+    return parse_records(spread(lines, partitions), keep=("rec_id", "file_path", "file_block", "line_no"))
 
 
 def dump_files(spark: SparkSession, root: str, pattern: str = DUMP_PATTERN) -> DataFrame:
     """The files of a dump, from the listing alone: their content is not read."""
     listing = spark.read.format("binaryFile").load(f"{root}/{pattern}")
-    return listing.select(F.col("path").alias("file_path"))
+    # the same spelling of the path as next to the lines: escaped, with its scheme
+    return listing.select(F.col("_metadata.file_path").alias("file_path"))
 
 
 def read_publications(
@@ -151,20 +154,20 @@ def doi_column(header: Column) -> Column:
 def doi_list_rows(lines: DataFrame) -> DataFrame:
     """``(file_name, doi)`` out of the lines of many CSV files with a header each.
 
-    The header is the first line of its file; there is one per file, so that side of the
-    join stays as small as the file listing.
+    The header is the first line of its file, known by its path: two folders may hold files of
+    one name. There is one per file, so that side of the join stays as small as the listing.
     """
     header = (
-        lines.groupBy("file_name")
+        lines.groupBy("file_path")
         .agg(F.min(F.struct("file_block", "line_no", "value")).alias("first"))
         .select(
-            "file_name",
+            "file_path",
             F.struct("first.file_block", "first.line_no").alias("header_at"),
             doi_column(F.col("first.value")).alias("at"),
         )
         .where(F.col("at").isNotNull())
     )
-    body = lines.join(header, "file_name").where(
+    body = lines.join(header, "file_path").where(
         F.struct("file_block", "line_no") != F.col("header_at")
     )
     cell = F.when(

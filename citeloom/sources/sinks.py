@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from citeloom.operators.harvest import first_rows
+from citeloom.session import cut_lineage
+
 HEAVY_FIELDS = ["description", "methods"]
 
 
@@ -95,15 +99,29 @@ def flat_columns(df: DataFrame) -> DataFrame:
 def write_by_institution(df: DataFrame, ids: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON lines and CSV per institution.
 
-    Rebalancing by institution keeps the number of files low and still spreads an
+    The exploded rows are written once and both forms come from that copy, so the job behind them
+    runs once. Rebalancing by institution keeps the number of files low and still spreads an
     institution that holds a large share of the rows over several tasks.
     """
-    rows = rows_by_institution(null_if_empty(df), ids).hint("rebalance", F.col("institution"))
+    rows = cut_lineage(rows_by_institution(null_if_empty(df), ids)).hint("rebalance", F.col("institution"))
     rows.write.partitionBy("institution").json(f"{path}/jsonl", mode=mode)
     flat_columns(rows.drop(*HEAVY_FIELDS)).write.partitionBy("institution").csv(
         f"{path}/csv", mode=mode, header=True, escape='"'
     )
 
 
-def append_state(df: DataFrame, path: str) -> None:
-    df.write.parquet(path, mode="append")
+def append_state(df: DataFrame, path: str, keys: list[str]) -> None:
+    """Adds the rows whose keys the state table does not hold yet, each key once.
+
+    Null keys equal null keys. The table is made when it is not there.
+    """
+    new = first_rows(df, keys)
+    try:
+        held = df.sparkSession.read.schema(df.schema).parquet(path).select(*[F.col(k).alias(f"_held_{k}") for k in keys])
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        same = [F.col(k).eqNullSafe(F.col(f"_held_{k}")) for k in keys]
+        new = new.join(held, same, "left_anti")
+    new.write.parquet(path, mode="append")

@@ -24,8 +24,13 @@ def stream_dump(spark: SparkSession, root: str, pattern: str = "*.jsonl.gz") ->
     return parse_records(lines, keep=("file_path",))
 
 
-def stream_slice_counts(stream: DataFrame, ts: str, interval: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
-    """Rows per update slice, final once the watermark has passed the slice."""
+def stream_slice_counts(stream: DataFrame, ts: str, interval: str, delay: str) -> DataFrame:
+    """Rows per update slice; ``delay`` is how much later than its slice a row may still come.
+
+    Rows that come later than that are not counted, so take it from the longest lag of the
+    source. In append mode a slice is written once, when the watermark has passed it: the last
+    slices stay open. :func:`slice_count_sink` writes open slices too.
+    """
     offset = MONDAY if "week" in interval or interval == "7 days" else None
     window = F.window(ts, interval, startTime=offset) if offset else F.window(ts, interval)
     counted = stream.withWatermark(ts, delay).groupBy(window.alias("w")).agg(F.count("*").alias("n_rows"))
@@ -34,9 +39,30 @@ def stream_slice_counts(stream: DataFrame, ts: str, interval: str = "1 hour", de
     )
 
 
+def slice_count_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch`` in update mode: the slices each micro-batch has changed, in a folder of its own."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return write
+
+
+def read_slice_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The latest count of each slice that :func:`slice_count_sink` has written, open ones included."""
+    written = spark.read.parquet(path)
+    latest = written.groupBy("slice_start", "slice_end").agg(F.max_by("n_rows", "batch").alias("n_rows"))
+    return latest
+
+
 def stream_keep_first(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
-    """One row per key within the watermark; which one of a micro-batch is not defined."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    """One row per key within the watermark; which one of a micro-batch is not defined.
+
+    Rows without a key are no duplicates of each other: they all pass, beside the state.
+    """
+    marked = stream.withWatermark(ts, delay)
+    first = marked.where(F.col(key).isNotNull()).dropDuplicatesWithinWatermark([key])
+    return first.union(marked.where(F.col(key).isNull()))
 
 
 def keep_first_sink(path: str, key: str, order: list[Column | str], row_id: str) -> Callable[[DataFrame, int], None]:
@@ -59,10 +85,10 @@ def keep_first_sink(path: str, key: str, order: list[Column | str], row_id: str)
 
 
 def run_available(stream: DataFrame, checkpoint: str, **sink) -> None:
-    """Process what is there and stop. ``sink`` gives ``path`` and ``format``, or ``foreach_batch``."""
+    """Process what is there and stop. ``sink`` gives ``path`` and ``format``, or ``foreach_batch`` and ``mode``."""
     writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if "foreach_batch" in sink:
-        writer = writer.foreachBatch(sink["foreach_batch"])
+        writer = writer.outputMode(sink.get("mode", "append")).foreachBatch(sink["foreach_batch"])
     else:
         writer = writer.format(sink["format"]).option("path", sink["path"])
     writer.start().awaitTermination()

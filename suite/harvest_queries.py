@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.operators import catalogue as C, harvest as H, lookups as L, registry as G, structures as P
-from citeloom.plans.jobs import enrich_repositories, same_path
+from citeloom.plans.jobs import enrich_repositories
 from citeloom.session import shared_folder
 from citeloom.sources import readers, sinks
 from citeloom.streaming import streams
@@ -225,20 +225,23 @@ def harvest_jobs(directory: str) -> str:
 
 
 STATE = harvest_jobs("'d' || CAST(o_custkey AS STRING)")
-NEW_JOBS = harvest_jobs("'d' || CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 WHEN o_orderkey % 7 = 0 THEN -1 ELSE o_custkey END AS STRING)").replace(
+# every new job twice, under another id
+NEW_JOBS = "SELECT * FROM ({0}) AS a UNION ALL SELECT id + 10000000, number_missed, number_slices, start_date, end_date, status, current_directory, processed, slice_type FROM ({0}) AS b"
+NEW_JOBS = NEW_JOBS.replace("{0}", harvest_jobs("'d' || CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 WHEN o_orderkey % 7 = 0 THEN -1 ELSE o_custkey END AS STRING)").replace(
     "o_orderdate AS end_date", "CASE WHEN o_orderkey % 4 = 0 THEN o_orderdate + INTERVAL 1 DAY ELSE o_orderdate END AS end_date"
-)
+))
 
 
 @query(
     "register_jobs",
     f"WITH state AS ({STATE}), firsts AS (SELECT current_directory, arg_min(slice_type, id) AS first_type FROM state GROUP BY 1) "
     f"SELECT id, current_directory, start_date, end_date, status, coalesce(first_type, slice_type) AS slice_type FROM ({NEW_JOBS}) n LEFT JOIN firsts USING (current_directory) "
-    "WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.current_directory = n.current_directory AND s.start_date = n.start_date AND s.end_date = n.end_date AND s.status <> 'error')",
+    "WHERE NOT EXISTS (SELECT 1 FROM state s WHERE s.current_directory = n.current_directory AND s.start_date = n.start_date AND s.end_date = n.end_date AND s.status <> 'error') "
+    "QUALIFY row_number() OVER (PARTITION BY current_directory, start_date, end_date ORDER BY id) = 1",
 )
 def _(spark, sf_dir):
     accepted = H.register_job(v.frame(spark, sf_dir, STATE), v.frame(spark, sf_dir, NEW_JOBS))
-    return accepted.select("id", "current_directory", "start_date", "end_date", "status", "slice_type")
+    return accepted.select(F.col("id").cast("int"), "current_directory", "start_date", "end_date", "status", "slice_type")
 
 
 @query("query_state", f"SELECT id, current_directory, status FROM ({STATE}) WHERE status = 'done' AND processed")
@@ -267,11 +270,10 @@ def _(spark, sf_dir):
 
 @query(
     "register_files",
-    f"SELECT file_name, CAST(count(*) AS BIGINT) AS number_of_dois FROM ({FILES}) WHERE file_name NOT IN (SELECT file_name FROM ({DONE})) GROUP BY file_name",
+    f"SELECT min(doc_id) AS doc_id, file_name FROM ({FILES}) WHERE file_name NOT IN (SELECT file_name FROM ({DONE})) GROUP BY file_name",
 )
 def _(spark, sf_dir):
-    counts = v.frame(spark, sf_dir, FILES).groupBy("file_name").agg(F.count("*").alias("number_of_dois"))
-    return H.register_files(v.frame(spark, sf_dir, DONE), counts)
+    return H.register_files(v.frame(spark, sf_dir, DONE), v.frame(spark, sf_dir, FILES))
 
 
 # ---------------------------------------------------------------- files
@@ -295,8 +297,8 @@ def _(spark, sf_dir):
         F.concat(F.lit("a"), F.regexp_replace("file_path", "[^0-9]+", "-")).alias("updated"), F.to_json(F.struct(F.col("doc_id").cast("string").alias("id"))).alias("value")
     )
     lines.repartition("updated").write.partitionBy("updated").text(folder, compression="gzip")
-    files = readers.dump_files(spark, folder, "updated*/*.txt.gz").select(same_path("file_path").alias("file_path"))
-    rows = readers.read_dump(spark, folder, "updated*/*.txt.gz").withColumn("file_path", same_path("file_path"))
+    files = readers.dump_files(spark, folder, "updated*/*.txt.gz")
+    rows = readers.read_dump(spark, folder, "updated*/*.txt.gz")
     counts = rows.groupBy("file_path").agg(F.count("*").alias("n")).join(files, "file_path")
     return counts.agg(F.count("*").alias("n_files"), F.sum("n").alias("n_rows"))
 
@@ -323,7 +325,8 @@ LIST_LINES = (
     "WHERE length(doi) >= 5 AND file_name <> 'caen.csv'",
 )
 def _(spark, sf_dir):
-    return readers.doi_list_rows(v.frame(spark, sf_dir, LIST_LINES))
+    lines = v.frame(spark, sf_dir, LIST_LINES).withColumn("file_path", F.concat(F.lit("lists/"), "file_name"))
+    return readers.doi_list_rows(lines)
 
 
 @query(
@@ -424,24 +427,18 @@ def _(spark, sf_dir):
     )
 
 
-@query("append_state", f"SELECT status, CAST(2 * count(*) AS BIGINT) AS n FROM ({STATE}) GROUP BY status")
+@query("append_state", f"SELECT id, status, slice_type FROM ({STATE})")
 def _(spark, sf_dir):
-    folder = shared_folder(spark)
-    for _ in range(2):
-        sinks.append_state(v.frame(spark, sf_dir, STATE), folder)
-    return spark.read.parquet(folder).groupBy("status").agg(F.count("*").alias("n"))
+    folder, state = shared_folder(spark), v.frame(spark, sf_dir, STATE)
+    # a part, then all of it with every row twice
+    for rows in (state.where("id % 2 = 0"), state.union(state)):
+        sinks.append_state(rows, folder, ["id"])
+    return spark.read.parquet(folder).select("id", "status", "slice_type")
 
 
 # ---------------------------------------------------------------- streams
 
 
-def event_stream(spark, sf_dir) -> DataFrame:
-    """The events as a file stream, their times as instants."""
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
 @query("stream_records", with_js() + "SELECT j->>'$.id' AS id, j->>'$.attributes.language' AS language FROM js")
 def _(spark, sf_dir):
     folder, out = shared_folder(spark), shared_folder(spark)
@@ -451,31 +448,49 @@ def _(spark, sf_dir):
     return spark.read.schema("id string, language string").parquet(f"{out}/rows")
 
 
+def event_files(spark, sf_dir, n: int = 3) -> DataFrame:
+    """The events as a stream of ``n`` files, one per micro-batch, each over the whole time: late rows."""
+    folder = shared_folder(spark)
+    rows = v.frame(spark, sf_dir, "SELECT event_id, ts, user_id FROM events").withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = rows.withColumn("key", F.when(F.col("user_id") % 7 != 0, F.col("user_id").cast("string")))
+    for i in range(n):
+        rows.where(F.pmod("event_id", F.lit(n)) == i).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
 @query(
     "stream_slice_counts",
-    "SELECT date_trunc('hour', ts) AS slice_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS slice_end, CAST(count(*) AS BIGINT) AS n_rows FROM events "
-    "GROUP BY ALL HAVING date_trunc('hour', any_value(ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events)",
+    "SELECT date_trunc('hour', ts) AS slice_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS slice_end, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY ALL",
 )
 def _(spark, sf_dir):
     folder = shared_folder(spark)
-    counted = streams.stream_slice_counts(event_stream(spark, sf_dir), "ts", "1 hour")
-    streams.run_available(counted, f"{folder}/checkpoint", format="parquet", path=f"{folder}/rows")
-    return spark.read.schema("slice_start timestamp, slice_end timestamp, n_rows bigint").parquet(f"{folder}/rows")
+    counted = streams.stream_slice_counts(event_files(spark, sf_dir), "ts", "1 hour", "3650 days")
+    sink = streams.slice_count_sink(f"{folder}/rows")
+    streams.run_available(counted, f"{folder}/checkpoint", foreach_batch=sink, mode="update")
+    return streams.read_slice_counts(spark, f"{folder}/rows")
 
 
-@query("stream_keep_first", "SELECT DISTINCT CAST(user_id AS VARCHAR) AS key FROM events")
+@query(
+    "stream_keep_first",
+    "SELECT CAST(user_id AS VARCHAR) AS key, CAST(1 AS BIGINT) AS n FROM events WHERE user_id % 7 <> 0 GROUP BY user_id "
+    "UNION ALL SELECT NULL, CAST(count(*) AS BIGINT) FROM events WHERE user_id % 7 = 0",
+)
 def _(spark, sf_dir):
     folder = shared_folder(spark)
-    rows = event_stream(spark, sf_dir).withColumn("key", F.col("user_id").cast("string"))
-    first = streams.stream_keep_first(rows, "key", "ts", "100 days").select("key")
+    first = streams.stream_keep_first(event_files(spark, sf_dir), "key", "ts", "3650 days").select("key")
     streams.run_available(first, f"{folder}/checkpoint", format="parquet", path=f"{folder}/rows")
-    return spark.read.schema("key string").parquet(f"{folder}/rows")
+    return spark.read.schema("key string").parquet(f"{folder}/rows").groupBy("key").agg(F.count("*").alias("n"))
 
 
-@query("stream_keep_first_in_order", "SELECT CAST(user_id AS VARCHAR) AS key, min(event_id) AS event_id FROM events GROUP BY 1")
+@query(
+    "stream_keep_first_in_order",
+    "SELECT CAST(user_id AS VARCHAR) AS key, min(event_id) AS event_id FROM events WHERE user_id % 7 <> 0 GROUP BY 1 "
+    "UNION ALL SELECT NULL, event_id FROM events WHERE user_id % 7 = 0",
+)
 def _(spark, sf_dir):
     folder = shared_folder(spark)
-    rows = event_stream(spark, sf_dir).select(F.col("user_id").cast("string").alias("key"), "event_id")
+    # one micro-batch for all files, so the order holds over all of them
+    rows = event_files(spark, sf_dir, 1).select("key", "event_id")
     sink = streams.keep_first_sink(f"{folder}/rows", "key", ["event_id"], "event_id")
     streams.run_available(rows, f"{folder}/checkpoint", foreach_batch=sink)
     return spark.read.parquet(f"{folder}/rows").select("key", "event_id")

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from citeloom.constants import AFFILIATION_KEYWORDS, EXCLUDED_LAST_NAMES, NAME_KEYWORDS, TERRITORY_CODES
 from citeloom.functions.text import plain_word
 from citeloom.operators import affiliations as A, catalogue as C, dedupe as D, lookups as L, signals as S
-from citeloom.plans.jobs import build_catalogue
+from citeloom.plans.jobs import build_catalogue, kept_records
+from citeloom.session import cut_lineage
 from citeloom.sources.readers import national_authors
 from suite import views as v
 from suite.record_queries import (
@@ -329,7 +330,10 @@ SIGNAL_JOINS = (
 )
 
 
-@query("national_signals", signal_sql(f"SELECT doc_id, {SIGNAL_COLUMNS} FROM rec {SIGNAL_JOINS}"))
+ACCEPTED = "fr_reasons_concat <> '' AND NOT (fr_reasons_concat = 'clientId;publisher' AND coalesce(genre_raw = 'image', true))"
+
+
+@query("national_signals", signal_sql(f"SELECT doc_id, {SIGNAL_COLUMNS} FROM rec {SIGNAL_JOINS} WHERE {ACCEPTED}"))
 def _(spark, sf_dir):
     signalled = S.national_signals(typed_records(spark, sf_dir), lookup(spark, sf_dir))
     return signalled.select("doc_id", *signal_texts())
@@ -475,15 +479,20 @@ def _(spark, sf_dir):
 
 @query(
     "run_counters",
-    with_js(PERSONS, RECORDS, SIDES, SIGNALS)
+    with_js(PERSONS, RECORDS, SIDES, SIGNALS, CATALOGUE)
     + """SELECT file_path, CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_country,
     CAST(count(*) FILTER (regexp_matches(fr_reasons_concat, '(^|;)publisher(;|$)')) AS BIGINT) AS n_publisher,
-    CAST(count(*) FILTER (regexp_matches(fr_reasons_concat, '(^|;)clientId(;|$)')) AS BIGINT) AS n_client
-    FROM rec LEFT JOIN reason_lists USING (doc_id) GROUP BY file_path""",
+    CAST(count(*) FILTER (regexp_matches(fr_reasons_concat, '(^|;)clientId(;|$)')) AS BIGINT) AS n_client,
+    CAST(count(*) FILTER (doc_id IN (SELECT doc_id FROM rows)) AS BIGINT) AS n_kept
+    FROM candidates GROUP BY file_path""",
 )
 def _(spark, sf_dir):
-    signalled = S.national_signals(typed_records(spark, sf_dir), lookup(spark, sf_dir))
-    return C.run_counters(signalled, "file_path")
+    records = D.drop_version_copies(typed_records(spark, sf_dir))
+    reasons = cut_lineage(S.national_reasons(records, lookup(spark, sf_dir)))
+    kept = kept_records(
+        records, lookup(spark, sf_dir), reasons=reasons, batches=batches(spark, sf_dir), batch=["batch"], order=["file_rank", "line_no"]
+    )
+    return C.run_counters(records, reasons, kept, "file_path")
 
 
 # ---------------------------------------------------------------- affiliation tables

@@ -2,14 +2,22 @@
 
 import gzip
 import json
+import os
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from citeloom.operators import affiliations as A, dedupe as D, harvest as H, lookups as L, registry as G, signals as S
-from citeloom.plans.jobs import catalogue_from_dump, save_affiliation_tables, save_catalogue, split_by_institution
-from citeloom.session import cut_lineage, shared_folder, spread
+from citeloom.plans.jobs import (
+    catalogue_from_dump,
+    save_affiliation_tables,
+    save_catalogue,
+    split_by_institution,
+    with_batches,
+)
+from citeloom.session import cut_lineage, shared_folder, spread, temporary_cuts
+from citeloom.sources.sinks import append_state
 from citeloom.sources import readers
 from citeloom.streaming import streams
 from tests.conftest import plan_of
@@ -259,11 +267,68 @@ def test_cut_lineage_and_spread(spark):
     df = spark.range(10, numPartitions=2).withColumn("v", F.parse_json(F.lit('{"a":1}')))
     cut = cut_lineage(df)
     assert cut.count() == 10 and "FileScan" in plan_of(cut)
-    assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(spark.range(100, numPartitions=64)).rdd.getNumPartitions() == 64
+    assert spread(df).rdd.getNumPartitions() == 2 and spread(df, 5).rdd.getNumPartitions() == 5
     assert shared_folder(spark) != shared_folder(spark)
 
 
+def test_temporary_cuts_are_removed(spark):
+    with temporary_cuts(spark):
+        cut = cut_lineage(spark.range(3))
+        folder = cut.inputFiles()[0].removeprefix("file:").replace("///", "/").rsplit("/", 1)[0]
+        assert cut.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
+@pytest.mark.parametrize("root,folder", [("a dump", "updated 1"), ("50% of", "updated_é"), ("plain", "updated_ü %20")])
+def test_dump_under_any_folder_name(spark, tmp_path, sides, root, folder):
+    rows = [doi(f"10.1/{i}", f"T{i}", creators=[person("Q", "Ocean")]) for i in range(5)]
+    write_dump(tmp_path / root, {f"{folder}/a.jsonl.gz": rows})
+    catalogue = catalogue_from_dump(spark, str(tmp_path / root), S.lookup_table(*sides))
+    assert {r.doi for r in catalogue.collect()} == {f"10.1/{i}" for i in range(5)}
+
+
+def test_record_of_an_unlisted_file_stops_the_job(spark):
+    batches = spark.createDataFrame([("a", 1, 0)], "file_path string, file_rank int, batch long")
+    records = spark.createDataFrame([("a", 1), ("b", 2)], "file_path string, rec_id int")
+    assert with_batches(records.where("rec_id = 1"), batches).count() == 1
+    with pytest.raises(Exception, match="no batch for the file b"):
+        with_batches(records, batches).collect()
+
+
+def test_equal_list_names_in_two_folders(spark, tmp_path):
+    for folder, text in (("a", "DOI;b\n10.1/a;1\n"), ("b", "x,doi\n1,10.1/b\n2,10.1/c\n")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "lyon.csv").write_text(text)
+    found = readers.read_doi_lists(spark, str(tmp_path / "*"))
+    assert sorted(r.doi for r in found.collect()) == ["10.1/a", "10.1/b", "10.1/c"]
+
+
+def test_no_side_table_is_an_empty_lookup(spark):
+    assert S.lookup_table().count() == 0
+
+
+def test_state_rows_are_added_once(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "id int, name string")
+    for _ in range(2):
+        append_state(rows, str(tmp_path / "state"), ["id"])
+    held = spark.read.parquet(str(tmp_path / "state"))
+    assert sorted((r.id or 0, r.name) for r in held.collect()) == [(0, "c"), (1, "a")]
+
+
+def test_split_runs_the_job_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    rows = spark.createDataFrame([("a", ["x"]), ("b", ["x", "y"])], "id string, local_affiliations array<string>")
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    ids = spark.createDataFrame([("x",), ("y",)], "institution string")
+    split_by_institution(rows.mapInArrow(counted, rows.schema), ids, str(tmp_path / "split"))
+    assert seen.value == 2
+
+
 def test_institution_lists(spark, tmp_path):
     (tmp_path / "lyon_caen.csv").write_text('a,My DOI\n1,https://doi.org/10.1/A\n"x,y","10.1%2Fb"\n3,\n4,10.\n')
     (tmp_path / "paris.csv").write_text("DOI;b\n10.1/a;1\n10.1/c;2,3\n")
@@ -415,3 +480,34 @@ def test_retried_batch_writes_once(spark, tmp_path):
     sink(second, 1)
     sink(second, 1)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
+
+
+def test_stream_counts_late_rows_and_open_slices(spark, tmp_path):
+    source, schema = tmp_path / "in", "ts timestamp, id int"
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        counted = streams.stream_slice_counts(stream, "ts", "1 hour", "30 days")
+        sink = streams.slice_count_sink(str(tmp_path / "out"))
+        streams.run_available(counted, str(tmp_path / "cp"), foreach_batch=sink, mode="update")
+        rows = streams.read_slice_counts(spark, str(tmp_path / "out")).orderBy("slice_start").collect()
+        return [(r.slice_start, r.n_rows) for r in rows]
+
+    early, late = datetime(2024, 1, 1, 5), datetime(2024, 1, 2, 1)
+    assert run([(early, 1), (late, 2)]) == [(early, 1), (late, 1)]
+    assert run([(early, 3), (early, 4)]) == [(early, 3), (late, 1)]
+
+
+def test_stream_keeps_rows_without_a_key(spark, tmp_path):
+    source, schema = tmp_path / "in", "key string, ts timestamp"
+    day = datetime(2024, 1, 1)
+
+    def run(keys):
+        spark.createDataFrame([(k, day) for k in keys], schema).write.mode("append").parquet(str(source))
+        first = streams.stream_keep_first(spark.readStream.schema(schema).parquet(str(source)), "key", "ts", "30 days")
+        streams.run_available(first, str(tmp_path / "cp"), format="parquet", path=str(tmp_path / "out"))
+        return sorted(str(r.key) for r in spark.read.schema(schema).parquet(str(tmp_path / "out")).collect())
+
+    assert run(["a", "b", "a", None, None]) == ["None", "None", "a", "b"]
+    assert run(["a", "c", None]) == ["None", "None", "None", "a", "b", "c"]
