@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from citeloom.llm.common import ascii_lower
+from citeloom.session import cut_lineage
 
 # Base phrases and their labels.
 BASE = {
@@ -59,7 +60,8 @@ def template_grams(spark: SparkSession, listed: list[tuple[str, str, bool]]) ->
     made = spark.createDataFrame(
         rows, "template int, label string, base boolean, n_grams int, place int, t1 string, t2 string"
     )
-    return made.withColumn("gram", F.xxhash64("t1", "t2"))
+    # written, so that its size is known and Spark can send it to all tasks
+    return cut_lineage(made.withColumn("gram", F.xxhash64("t1", "t2")))
 
 
 def license_spans(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, text_col: str = "text") -> DataFrame:
