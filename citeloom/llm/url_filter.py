@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from citeloom.llm.common import ascii_lower
+from citeloom.session import cut_lineage
 
 RULE = T.StructType(
     [
@@ -33,8 +34,8 @@ def path_of(url: Column) -> Column:
 
 
 def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> DataFrame:
-    """Rules (host, path, "allow" or "block") as a table."""
-    return spark.createDataFrame(list(rules), RULE)
+    """Rules (host, path, "allow" or "block") as a table, written so that Spark knows its size."""
+    return cut_lineage(spark.createDataFrame(list(rules), RULE))
 
 
 def digest(host: Column, path: Column) -> Column:
