@@ -36,9 +36,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with domain, tokens and the number of copies to train on."""
+    """The documents the mix takes, with mix_domain, mix_tokens and the number of copies to train on.
+
+    Columns of the input that have one of these names give way.
+    """
     taken = mixing.mix(docs, MIX_PART, MIX_WEIGHTS, mix_domain(), MIX_EPOCHS, MIX_SEED).where("copies > 0")
-    return taken.select("row.*", F.col("domain").alias("mix_domain"), F.col("tokens").alias("mix_tokens"), "copies")
+    own = {"mix_domain": "domain", "mix_tokens": "tokens", "copies": "copies"}
+    kept = [F.col("row").getField(c).alias(c) for c in docs.columns if c not in own]
+    return taken.select(*kept, *[F.col(c).alias(name) for name, c in own.items()])
 
 
 STAGES = [
