@@ -22,7 +22,7 @@ GRADES = 4
 # Bounds of the sample, of the features, and of the fit.
 MAX_DOCS = 20_000
 MAX_FEATURES = 256
-LEAST_Z = 4.0
+LEAST_Z = 2.5
 STEPS = 300
 RIDGE = 1.0
 TOXIC_FROM = 0.5
