@@ -5,14 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.operators import catalogue as C, harvest as H, lookups as L, registry as G, structures as P
-from citeloom.plans.jobs import enrich_repositories
+from citeloom.plans.jobs import catalogue_from_dump, enrich_repositories, save_affiliation_tables, save_catalogue
 from citeloom.session import shared_folder
 from citeloom.sources import readers, sinks
 from citeloom.streaming import streams
 from suite import views as v
-from suite.record_queries import RECORDS, PERSONS, typed_records, with_js
+from suite.record_queries import PERSONS, RECORDS, typed_records, with_js
 from suite.registry import query
-from suite.table_queries import AUTHORS, LISTS, PUBS, author_rows, institution_lists, publications
+from suite.table_queries import (
+    AUTHORS,
+    CATALOGUE,
+    LISTS,
+    PUBS,
+    SIDES,
+    SIGNALS,
+    author_rows,
+    institution_lists,
+    lookup,
+    publications,
+)
 from suite.text_queries import url_ctes
 
 
@@ -290,6 +301,38 @@ def _(spark, sf_dir):
     return raw.select("id", F.regexp_extract("file_path", "updated=a([0-9]+)", 1).alias("folder"), "language")
 
 
+def dump_on_disk(spark, sf_dir) -> str:
+    """The records as a dump: one gzip file per folder, names with a blank, lines in order."""
+    folder = f"{shared_folder(spark)}/the dump"
+    lines = v.frame(spark, sf_dir, v.record_json(v.SPARK)).select(
+        F.regexp_replace(F.regexp_replace("file_path", "^dump/updated_", "of "), "/", " ").alias("updated"), "line_no", "value"
+    )
+    lines = lines.repartition("updated").sortWithinPartitions("updated", "line_no").select("updated", "value")
+    lines.write.partitionBy("updated").text(folder, compression="gzip")
+    return folder
+
+
+@query(
+    "catalogue_from_dump",
+    with_js(PERSONS, RECORDS, SIDES, SIGNALS, CATALOGUE, LISTS)
+    + f""", structures AS ({STRUCTURES})
+    SELECT id AS doi, nullif(title, '') AS title, fr_reasons_concat, natural_key, genre, coalesce(array_to_string(local_affiliations, '|'), '') AS local_affiliations
+    FROM (SELECT rows.*, local_affiliations FROM rows LEFT JOIN (SELECT id AS list_id, local_affiliations FROM lists) ON list_id = 'doi' || rows.id)
+    UNION ALL SELECT doi, title, fr_reasons_concat, NULL, genre, '' FROM structures""",
+)
+def _(spark, sf_dir):
+    """The whole job as it ships: reader, one cut, signals, keep-first, protein rows, lists, writer."""
+    catalogue = catalogue_from_dump(
+        spark, dump_on_disk(spark, sf_dir), lookup(spark, sf_dir), "updated*/*.txt.gz", lists=institution_lists(spark, sf_dir),
+        structures=P.structures_to_catalogue(entries(spark, sf_dir), publications(spark, sf_dir)),
+    )
+    out = shared_folder(spark)
+    save_catalogue(catalogue, out)
+    fields = "doi string, title string, fr_reasons_concat string, natural_key string, genre string, local_affiliations array<string>"
+    rows = spark.read.json(out, schema=fields)
+    return rows.withColumn("local_affiliations", F.coalesce(F.array_join("local_affiliations", "|"), F.lit("")))
+
+
 @query("listed_dump_files", f"SELECT CAST(count(DISTINCT {v.FILE_PATH}) AS BIGINT) AS n_files, CAST(count(*) AS BIGINT) AS n_rows FROM documents")
 def _(spark, sf_dir):
     folder = shared_folder(spark)
