@@ -10,18 +10,20 @@ from citeloom.session import shared_folder
 from citeloom.sources import readers, sinks
 from citeloom.streaming import streams
 from suite import views as v
-from suite.record_queries import PERSONS, RECORDS, typed_records, with_js
+from suite.record_queries import DETAILED, PERSONS, RECORDS, envelope_lines, raw_records, typed_records, with_js
 from suite.registry import query
 from suite.table_queries import (
     AUTHORS,
     CATALOGUE,
     LISTS,
+    ORGS,
     PUBS,
     SIDES,
     SIGNALS,
     author_rows,
     institution_lists,
     lookup,
+    org_rows,
     publications,
 )
 from suite.text_queries import url_ctes
@@ -406,6 +408,80 @@ def _(spark, sf_dir):
     return found.groupBy("author_key").agg(F.count("*").alias("n_years"))
 
 
+@query("read_envelope_files", with_js() + "SELECT j->>'$.id' AS id, j->>'$.attributes.url' AS url FROM js")
+def _(spark, sf_dir):
+    folder = shared_folder(spark)
+    envelope_lines(spark, sf_dir).select("value").write.text(folder, compression="gzip")
+    return readers.read_envelope(spark, folder).select("id", "url")
+
+
+@query(
+    "read_doi_list_files",
+    f"WITH {LISTS} SELECT split_part(file_name, '.', 1) AS name, doi, CAST(count(*) AS BIGINT) AS n FROM "
+    f"(SELECT file_name, nullif(regexp_extract(replace(trim(lower(typed)), '%2f', '/'), '(10\\.[^\\n]*?)( |$)', 1), '') AS doi FROM ({v.doi_lists_sql()})) "
+    "WHERE length(doi) >= 5 GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    """Lists of one name in two folders, each with a header of its own: other separator, other place of the DOI."""
+    folder = shared_folder(spark)
+    rows = v.frame(spark, sf_dir, v.doi_lists_sql()).select("file_name", "typed", (F.hash("typed") % 2 == 0).alias("even"))
+    name = F.regexp_replace("file_name", "[.].*", "")
+    for part, header, line in (("a", "DOI;other", F.concat("typed", F.lit(";1,2"))), ("b", "x,my doi", F.concat(F.lit('"1;2",'), "typed"))):
+        listed = rows.where(F.col("even") == (part == "a")).select(name.alias("name"), line.alias("value"), F.lit(1).alias("k"))
+        head = listed.select("name", F.lit(header), F.lit(0)).distinct()
+        ordered = listed.union(head).repartition("name").sortWithinPartitions("name", "k").select("name", "value")
+        ordered.write.partitionBy("name").text(f"{folder}/{part}")
+    lines = readers.text_lines(spark, f"{folder}/*/*")
+    # every part file is one list; its name is that of its folder
+    named = lines.withColumn("file_name", F.regexp_extract("file_path", "name=([^/]+)/", 1))
+    return readers.doi_list_rows(named).groupBy(F.col("file_name").alias("name"), "doi").agg(F.count("*").alias("n"))
+
+
+@query("read_org_files", f"WITH {ORGS} SELECT ror FROM orgs")
+def _(spark, sf_dir):
+    folder = shared_folder(spark)
+    version = F.struct(F.struct(F.lit("2.1").alias("schema_version")).alias("last_modified"))
+    other = F.struct(F.struct(F.lit("1.0").alias("schema_version")).alias("last_modified"))
+    rows = org_rows(spark, sf_dir)
+    old = rows.withColumn("id", F.concat("id", F.lit("old"))).withColumn("admin", other)
+    both = rows.withColumn("admin", version).union(old)
+    # one JSON array per file: rows of a supplier number share a file
+    arrays = both.groupBy(F.pmod(F.hash("id"), F.lit(7)).alias("file")).agg(F.to_json(F.collect_list(F.struct("id", "locations", "admin"))).alias("value"))
+    arrays.write.partitionBy("file").text(folder)
+    return L.national_orgs(readers.read_orgs(spark, folder))
+
+
+@query("read_repository_files", "SELECT 're3' || page_id AS id, 'R ' || page_id AS name, url FROM pages")
+def _(spark, sf_dir):
+    folder = shared_folder(spark)
+    rows = v.frame(spark, sf_dir, "SELECT 're3' || CAST(page_id AS STRING) AS id, 'R ' || CAST(page_id AS STRING) AS name, url, html AS unread FROM pages")
+    arrays = rows.groupBy(F.pmod(F.hash("id"), F.lit(5)).alias("file")).agg(F.to_json(F.collect_list(F.struct("id", "name", "url", "unread"))).alias("value"))
+    arrays.write.partitionBy("file").text(folder)
+    return readers.read_repositories(spark, folder).select("id", "name", "url")
+
+
+@query(
+    "saved_affiliation_tables",
+    with_js(PERSONS, RECORDS, DETAILED)
+    + """SELECT 'detailed' AS part, concat_ws('@', doi_id, type, name, doi_publisher, doi_client_id, affiliation) AS row FROM detailed
+    UNION ALL SELECT 'consolidated', concat_ws('@', doi_publisher, doi_client_id, affiliation) FROM (SELECT DISTINCT doi_publisher, doi_client_id, affiliation FROM detailed)
+    UNION ALL SELECT 'statistics', file_path || '@' || count(*) FROM js GROUP BY file_path""",
+)
+def _(spark, sf_dir):
+    folder = shared_folder(spark)
+    statistics = save_affiliation_tables(raw_records(spark, sf_dir), folder, origin="file_path")
+    shapes = {
+        "detailed": ["doi_id", "type", "name", "doi_publisher", "doi_client_id", "affiliation"],
+        "consolidated": ["doi_publisher", "doi_client_id", "affiliation"],
+    }
+    parts = [
+        spark.read.parquet(f"{folder}/{part}").select(F.lit(part).alias("part"), F.concat_ws("@", *columns).alias("row"))
+        for part, columns in shapes.items()
+    ]
+    parts.append(statistics.select(F.lit("statistics").alias("part"), F.concat_ws("@", "file_name", "number_of_dois").alias("row")))
+    return readers.union_tables(*parts)
+
+
 @query("read_structures", f"SELECT '10.2210/pdb' || lower(rcsb_id) || '/pdb' AS doi, title, nullif(trim(lower(cited)), '') AS cited FROM ({ENTRIES})")
 def _(spark, sf_dir):
     folder = shared_folder(spark)
