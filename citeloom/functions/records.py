@@ -24,7 +24,17 @@ PERSON = (
     "struct<name:string,nameType:string,givenName:string,familyName:string,"
     "affiliationIdentifier:string,affiliation:variant,nameIdentifiers:variant>"
 )
-RELATED = "struct<relationType:string,relatedIdentifier:string,relatedIdentifierType:string>"
+RELATED = "struct<relationType:string,relatedIdentifier:string,relatedIdentifierType:string,whole:variant>"
+# lists of objects, and what an element of each becomes
+ELEMENTS = {
+    "titles": "map<string,string>",
+    "subjects": "map<string,string>",
+    "rightsList": "map<string,string>",
+    "descriptions": "struct<description:variant,descriptionType:string>",
+    "fundingReferences": "struct<funderName:string,awardNumber:string>",
+    "creators": PERSON,
+    "contributors": PERSON,
+}
 
 RECORD_SCHEMA = f"""struct<
   id:string,
@@ -32,14 +42,9 @@ RECORD_SCHEMA = f"""struct<
     publisher:variant, publicationYear:variant, language:string, url:string,
     created:string, registered:string, updated:string,
     types:struct<resourceType:string,resourceTypeGeneral:string>,
-    titles:array<map<string,string>>,
-    subjects:array<map<string,string>>,
-    rightsList:array<map<string,string>>,
-    descriptions:array<struct<description:variant,descriptionType:string>>,
-    fundingReferences:array<struct<funderName:string,awardNumber:string>>,
-    relatedIdentifiers:array<{RELATED}>,
-    creators:array<{PERSON}>,
-    contributors:array<{PERSON}>,
+    titles:array<variant>, subjects:array<variant>, rightsList:array<variant>,
+    descriptions:array<variant>, fundingReferences:array<variant>,
+    relatedIdentifiers:array<variant>, creators:array<variant>, contributors:array<variant>,
     sizes:variant, formats:variant>,
   relationships:struct<client:struct<data:struct<id:string>>>>"""
 
@@ -313,10 +318,34 @@ def parse_records(df: DataFrame, text: str = "value", keep: tuple[str, ...] = ()
 
 
 def flatten_record(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``id, attributes, relationships`` to raw columns, records without id dropped."""
-    return parsed.where(F.col("id").isNotNull()).select(
+    """``id, attributes, relationships`` to raw columns, records without id dropped.
+
+    The elements of lists are typed one by one: one that is no object becomes null, its
+    neighbours stay, and ``unreadable`` counts such elements of the record.
+    """
+    raw = parsed.where(F.col("id").isNotNull()).select(
         *keep, "id", "attributes.*", F.col("relationships.client.data.id").alias("_client")
     )
+    typed = {name: each_as(name, kind) for name, kind in ELEMENTS.items()}
+    typed["relatedIdentifiers"] = F.transform("relatedIdentifiers", relation)
+    return raw.withColumns({**typed, "unreadable": sum((lost(name, c) for name, c in typed.items()), F.lit(0))})
+
+
+def each_as(name: str, kind: str) -> Column:
+    return F.transform(name, lambda e: F.try_variant_get(e, "$", kind))
+
+
+def relation(e: Column) -> Column:
+    """A related identifier: the three fields that rules look at, and the whole object."""
+    fields = [F.try_variant_get(e, f"$.{f}", "string").alias(f) for f in ("relationType", "relatedIdentifier", "relatedIdentifierType")]
+    is_object = F.try_variant_get(e, "$", "struct<relationType:variant>").isNotNull()
+    return F.when(is_object, F.struct(*fields, e.alias("whole")))
+
+
+def lost(name: str, typed: Column) -> Column:
+    """How many elements of a list are neither null nor objects."""
+    filled = F.size(F.filter(name, lambda e: e.isNotNull() & ~F.is_variant_null(e)))
+    return F.greatest(filled - F.size(F.filter(typed, lambda e: e.isNotNull())), F.lit(0))
 
 
 def record_columns(raw: DataFrame, keep: tuple[str, ...] = (), fix_fos: bool = False) -> DataFrame:

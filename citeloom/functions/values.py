@@ -173,7 +173,7 @@ def is_version_copy(doi: Column | str, plain_publisher: Column | str) -> Column:
 
 
 def genre_features(resource_type: Column, publisher: Column, related: Column) -> Column:
-    """``struct(genre, genre_detail, nb_parts, subparts)``.
+    """``struct(genre, genre_detail, nb_parts, subparts)``; subparts are whole relation objects.
 
     The last relation to another DOI that names a version, a part or a copy overrides
     the genre of the general resource type.
@@ -191,5 +191,5 @@ def genre_features(resource_type: Column, publisher: Column, related: Column) ->
         .otherwise(resource_type)
         .alias("genre_detail"),
         F.size(F.filter(to_doi, lambda r: r["relationType"] == "HasPart")).alias("nb_parts"),
-        F.filter(to_doi, lambda r: r["relationType"] == "IsPartOf").alias("subparts"),
+        F.transform(F.filter(to_doi, lambda r: r["relationType"] == "IsPartOf"), lambda r: r["whole"]).alias("subparts"),
     )

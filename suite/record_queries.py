@@ -352,6 +352,27 @@ def _(spark, sf_dir):
 # ---------------------------------------------------------------- envelopes and affiliations
 
 
+# good elements between ones that are no objects: as many as the remainder of the id says
+BROKEN = (
+    "SELECT doc_id, '{\"id\":\"10.1/' || CAST(doc_id AS STRING) || '\",\"attributes\":{\"creators\":[{\"name\":\"A\"},\"x\",null,{\"name\":\"B ' || source || '\"},5],"
+    "\"contributors\":' || CASE WHEN doc_id % 3 = 0 THEN '[[1],{\"name\":\"C\"}]' ELSE '[]' END || ',\"titles\":[\"t\",{\"title\":\"T' || lang || '\"}],"
+    "\"relatedIdentifiers\":[true,{\"relationType\":\"IsSupplementTo\",\"relatedIdentifierType\":\"DOI\",\"relatedIdentifier\":\"10.2/' || CAST(doc_id AS STRING) || '\"}]}}' AS value FROM documents"
+)
+
+
+@query(
+    "broken_elements",
+    "SELECT doc_id, 'T' || lang AS title, 'A|B ' || source || CASE WHEN doc_id % 3 = 0 THEN '|C' ELSE '' END AS names, "
+    "'10.2/' || doc_id AS linked, CAST(4 + CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS INTEGER) AS unreadable FROM documents",
+)
+def _(spark, sf_dir):
+    raw = R.parse_records(v.frame(spark, sf_dir, BROKEN), keep=("doc_id",))
+    return R.record_columns(raw, keep=("doc_id", "unreadable")).select(
+        "doc_id", "title", F.array_join(F.transform("people", lambda p: p["person"]["name"]), "|").alias("names"),
+        F.array_join(R.related_dois(F.col("related"), "IsSupplementTo"), "|").alias("linked"), "unreadable",
+    )
+
+
 def envelope_lines(spark, sf_dir) -> DataFrame:
     """Ten records per line, and a blank and a broken line for each of them."""
     rows = v.frame(spark, sf_dir, v.record_json(v.SPARK)).withColumn("page", F.floor(F.col("doc_id") / 10))

@@ -452,7 +452,14 @@ people AS (
   SELECT doc_id, string_agg(concat_ws('@', role, full_name, orcid), '|' ORDER BY n) AS authors FROM named GROUP BY doc_id),
 part_of AS (
   SELECT doc_id, array_to_string(list_transform(list_filter({items('relatedIdentifiers')}, lambda e: (e->>'$.relatedIdentifierType') = 'DOI' AND
-    (e->>'$.relationType') = 'IsPartOf'), lambda e: e->>'$.relatedIdentifier'), '|') AS subparts FROM rows)"""
+    (e->>'$.relationType') = 'IsPartOf'), lambda e: concat_ws('@', e->>'$.relatedIdentifier', e->>'$.relatedIdentifierType', e->>'$.relationType',
+    e->>'$.resourceTypeGeneral', e->>'$.schemeUri', CAST(len(json_keys(e)) AS VARCHAR))), '|') AS subparts FROM rows)"""
+
+
+def whole_relation(relation):
+    fields = ("relatedIdentifier", "relatedIdentifierType", "relationType", "resourceTypeGeneral", "schemeUri")
+    n_keys = F.size(F.map_keys(F.try_variant_get(relation, "$", "map<string,string>")))
+    return F.concat_ws("@", *[F.try_variant_get(relation, f"$.{f}", "string") for f in fields], n_keys.cast("string"))
 
 
 @query(
@@ -471,7 +478,7 @@ def _(spark, sf_dir):
         "id", joined("external_ids", "id_type", "id_value").alias("external_ids"), "publisher",
         joined("abstract", "abstract", "lang").alias("abstract"), "methods", "description",
         joined("authors", "role", "full_name", "orcid").alias("authors"),
-        F.array_join(F.transform("subparts", lambda s: s["relatedIdentifier"]), "|").alias("subparts"),
+        F.array_join(F.transform("subparts", whole_relation), "|").alias("subparts"),
         "size_total_mb", F.array_join("units", "|").alias("units"), "has_size", "size_cat", "url", "update_date",
         F.array_join("doi_version_of", "|").alias("version_of"),
     )

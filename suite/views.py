@@ -181,7 +181,7 @@ def related_json() -> str:
     def one(relation: str, identifier: str, kind: str = "DOI") -> str:
         return (
             f"'{{\"relationType\":\"{relation}\",\"relatedIdentifier\":\"' || {identifier} || "
-            f"'\",\"relatedIdentifierType\":\"{kind}\"}}'"
+            f"'\",\"relatedIdentifierType\":\"{kind}\",\"resourceTypeGeneral\":\"Text\",\"schemeUri\":\"u/{relation}\"}}'"
         )
 
     pub = f"'10.7777/PUB.' || {text('(doc_id * 29) % 1100')}"
