@@ -96,23 +96,27 @@ AFFILIATION_KEYWORDS = [
 EXCLUDED_FULL_NAMES = ["anne houles"]
 EXCLUDED_FULL_NAMES_PUBLISHER = "UNITE Community"
 
-# --- fixed values: family names too common to identify an author, "|" separated ---
-EXCLUDED_LAST_NAMES = (
-    "Schober|Reimer|Witte|Overmann|Bunk|Podstawka|Lissin|Lüken|Devers|Wang|Liu|Olambo|Smith|Zhao|"
-    "Shi|Zhang|Chu|Li|Moore|Tsai|Petyuk|Weitz|Gritsenko|Monroe|Rodland|Cuevas Fernandez|Chen|"
-    "Fourrier|Yang|Brochard|Wu|Zhu|Xu|Zhou|Huang|de la Côte d'Or|Sun|Jamet|Schmidt|Mézard|Metz|"
-    "Bruneau|Yu|Hu|Jiang|Morandière|Ma|Lu|Sauneron|He|Steinmetz|Bacon|Gao|Guo|Urrutia|Maseda|"
-    "Diener|Wisotzki|Bouché|Nanayakkara|Caruana|Weilbacher|Klar|Boogaard|Herenz|Enke|Krajnović|"
-    "Saust|Werhahn|Brinchman|Kerrut|Suarez|Lin|Vernier|Bohbot|Cheng|Song|Zheng|Biston-Moulin|Han|"
-    "Chang|Vernet|Luo|Machefert|Xie|Yuan|Tang|Pérez|Lee|Wei|Shen|Feng|Yan|Sodini|Liang|Troccaz|"
-    "Péraire|Burnum-Johnson|Nicora|Kyle|Peng|Xiao|Cao|Qian|Kim|Stoekl|Dong|Sève|Arrif|Marichal|"
-    "Fan|Fu|Mohamed Ibrahim|Wesley Baldwin|Evans|Kumar|Jin|Boyd|Dai|Nguyen|Jones|Gout|Yao|Fang|"
-    "Zeng|Ye|Hou|Williams|Xia|Cai|Su|Ding|Liao|Yin|inconnu]|Pan|Tan|Badin|Du|Maucor|Johnson|Tian|"
-    "Guilbaud|Lafage|Weber|Nakayasu|Collet|Zou|Piehowski|Webb-Robertson|Barth|Meng|Miller|Brown|"
-    "Ren|Deng|Poulain|Park|Cui|Ibrahim|Silva|Qin|Wells|Long|Ji|Ibrahim Mohamed|Tao|Hong|Jia|Meyer|"
-    "Singh|Fischer|Gu|Sharma|Wen|Schneider|de la Côte-d'Or|Taylor|Mao|Kang|Darras|Qiu|Orton|"
-    "Wagner|Zhong|Hall|Hill|Wilson|Schultz"
-)
+# --- fixed values: family names too common to identify an author ---
+EXCLUDED_LAST_NAMES = [
+    "Schober", "Reimer", "Witte", "Overmann", "Bunk", "Podstawka", "Lissin", "Lüken", "Devers", "Wang", "Liu",
+    "Olambo", "Smith", "Zhao", "Shi", "Zhang", "Chu", "Li", "Moore", "Tsai", "Petyuk", "Weitz", "Gritsenko",
+    "Monroe", "Rodland", "Cuevas Fernandez", "Chen", "Fourrier", "Yang", "Brochard", "Wu", "Zhu", "Xu", "Zhou",
+    "Huang", "de la Côte d'Or", "Sun", "Jamet", "Schmidt", "Mézard", "Metz", "Bruneau", "Yu", "Hu", "Jiang",
+    "Morandière", "Ma", "Lu", "Sauneron", "He", "Steinmetz", "Bacon", "Gao", "Guo", "Urrutia", "Maseda",
+    "Diener", "Wisotzki", "Bouché", "Nanayakkara", "Caruana", "Weilbacher", "Klar", "Boogaard", "Herenz",
+    "Enke", "Krajnović", "Saust", "Werhahn", "Brinchman", "Kerrut", "Suarez", "Lin", "Vernier", "Bohbot",
+    "Cheng", "Song", "Zheng", "Biston-Moulin", "Han", "Chang", "Vernet", "Luo", "Machefert", "Xie", "Yuan",
+    "Tang", "Pérez", "Lee", "Wei", "Shen", "Feng", "Yan", "Sodini", "Liang", "Troccaz", "Péraire",
+    "Burnum-Johnson", "Nicora", "Kyle", "Peng", "Xiao", "Cao", "Qian", "Kim", "Stoekl", "Dong", "Sève", "Arrif",
+    "Marichal", "Fan", "Fu", "Mohamed Ibrahim", "Wesley Baldwin", "Evans", "Kumar", "Jin", "Boyd", "Dai",
+    "Nguyen", "Jones", "Gout", "Yao", "Fang", "Zeng", "Ye", "Hou", "Williams", "Xia", "Cai", "Su", "Ding",
+    "Liao", "Yin", "inconnu]", "Pan", "Tan", "Badin", "Du", "Maucor", "Johnson", "Tian", "Guilbaud", "Lafage",
+    "Weber", "Nakayasu", "Collet", "Zou", "Piehowski", "Webb-Robertson", "Barth", "Meng", "Miller", "Brown",
+    "Ren", "Deng", "Poulain", "Park", "Cui", "Ibrahim", "Silva", "Qin", "Wells", "Long", "Ji",
+    "Ibrahim Mohamed", "Tao", "Hong", "Jia", "Meyer", "Singh", "Fischer", "Gu", "Sharma", "Wen", "Schneider",
+    "de la Côte-d'Or", "Taylor", "Mao", "Kang", "Darras", "Qiu", "Orton", "Wagner", "Zhong", "Hall", "Hill",
+    "Wilson", "Schultz",
+]
 
 # --- fixed values: genre of each general resource type (others: "other") ---
 GENRE_OF_TYPE = {

@@ -195,7 +195,7 @@ def is_excluded_name(
     name: Column, plain_publisher: Column, last_names: list[str] | None = None
 ) -> Column:
     """Names that never count: listed full names at one publisher, or a listed family name."""
-    listed = string_array([plain_word(x) for x in last_names or EXCLUDED_LAST_NAMES.split("|")])
+    listed = string_array([plain_word(x) for x in last_names or EXCLUDED_LAST_NAMES])
     full = name.isin(EXCLUDED_FULL_NAMES) & (plain_publisher == EXCLUDED_FULL_NAMES_PUBLISHER)
     return F.coalesce(full, F.lit(False)) | F.arrays_overlap(F.split(name, " "), listed)
 

@@ -229,5 +229,5 @@ def read_repositories(spark: SparkSession, path: str) -> DataFrame:
 def excluded_last_names(spark: SparkSession, path: str | None = None) -> list[str]:
     """Family names that identify nobody: a CSV with a ``key`` column, or the built-in list."""
     if path is None:
-        return EXCLUDED_LAST_NAMES.split("|")
+        return list(EXCLUDED_LAST_NAMES)
     return [row.key for row in spark.read.csv(path, header=True).select("key").toLocalIterator()]

@@ -125,7 +125,7 @@ def _(spark, sf_dir):
 
 KEYWORDS = "[" + ", ".join(f"'{k}'" for k in AFFILIATION_KEYWORDS) + "]"
 NAMES = "[" + ", ".join(f"'{k}'" for k in NAME_KEYWORDS) + "]"
-EXCLUDED = "[" + ", ".join(f"'{w}'" for w in (plain_word(n).replace("'", "''") for n in EXCLUDED_LAST_NAMES.split("|"))) + "]"
+EXCLUDED = "[" + ", ".join(f"'{w}'" for w in (plain_word(n).replace("'", "''") for n in EXCLUDED_LAST_NAMES)) + "]"
 
 # one element of an affiliation list as searchable text
 AFFILIATION_SEARCH = (
