@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from citeloom.llm.common import in_arrow, small
 from citeloom.session import cut_lineage
 
 # N-grams of one to three characters, the most frequent of which make a profile.
@@ -101,7 +102,7 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tallies: dict[str, Tally] = {}
-        for batch in batches:
+        for batch in small(batches):
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
                 tally = tallies.setdefault(lang, Tally())
                 tally.add(gram_codes(text))
@@ -111,7 +112,7 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
             yield tally.rows(lang)
 
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
-    counts = known.mapInArrow(counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = in_arrow(known, counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
     return counts.withColumn("rank", F.row_number().over(most) - 1).where(F.col("rank") < PROFILE).drop("n")
 
@@ -162,7 +163,7 @@ def predict_languages(
         return langs[best], float((others.min() - away[best]) / total) if total else 0.0, float(away[best])
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [judged(text) for text in batch.column("text").to_pylist()]
             columns = zip(*found) if found else ((), (), ())
             kinds = (pa.string(), pa.float64(), pa.float64())
@@ -173,7 +174,7 @@ def predict_languages(
 
     kind = docs.schema[id_col].dataType.simpleString()
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return only.mapInArrow(predicted, f"doc_id {kind}, lang_pred string, score double, distance double")
+    return in_arrow(only, predicted, f"doc_id {kind}, lang_pred string, score double, distance double")
 
 
 def learn_profiles(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from citeloom.llm.common import in_arrow, small
 from citeloom.llm.components import components
 from citeloom.llm.hashing import hash_words, shingle_hashes, words_of
 from citeloom.session import cut_lineage
@@ -88,7 +89,7 @@ def signed(docs: DataFrame, shingle: int, trees: int, depth: int) -> DataFrame:
         )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             first, sets, room = 0, [], SIGNED
             for i, text in enumerate(batch.column("text").to_pylist()):
                 sets.append(shingle_set(text, shingle))
@@ -100,7 +101,7 @@ def signed(docs: DataFrame, shingle: int, trees: int, depth: int) -> DataFrame:
                 yield rows(batch, first, sets)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(sign, f"id {kind}, key string, prefixes array<long>")
+    return in_arrow(docs, sign, f"id {kind}, key string, prefixes array<long>")
 
 
 def candidates(entries: DataFrame) -> DataFrame:

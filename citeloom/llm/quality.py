@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import learnable
+from citeloom.llm.common import in_arrow, learnable, small
 
 FEATURES = (
     "upper",
@@ -33,7 +33,7 @@ BUCKETS = 8
 # Bounds of the sample a model is fitted on, and of the fit.
 MAX_DOCS = 8000
 # Characters that are measured at once.
-CHUNK = 1_000_000
+CHUNK = 250_000
 STEPS = 120
 RIDGE = 2.0
 LEAST_SCORE = 0.3
@@ -253,13 +253,13 @@ def fit_quality(docs: DataFrame, labels: DataFrame, limit: int = MAX_DOCS) -> Li
     )
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [x.ravel().tolist() for x in line_features(batch.column("text").to_pylist())[0]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(found, pa.list_(pa.float32()))], names=["label", "features"]
             )
 
-    made = rows.select("label", "text").mapInArrow(measured, "label int, features array<float>").toArrow()
+    made = in_arrow(rows.select("label", "text"), measured, "label int, features array<float>").toArrow()
     features = [np.array(x, dtype=np.float32).reshape(-1, len(FEATURES)) for x in made.column("features").to_pylist()]
     return fit(features, made.column("label").to_pylist())
 
@@ -273,7 +273,7 @@ def quality_scores(docs: DataFrame, model: LineModel, id_col: str = "doc_id", te
     """
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found, sizes = line_features(batch.column("text").to_pylist())
             marginals = model.scores(found)
             score = [float(np.average(p, weights=n + 1)) for p, n in zip(marginals, sizes)]
@@ -289,7 +289,7 @@ def quality_scores(docs: DataFrame, model: LineModel, id_col: str = "doc_id", te
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(scored, f"doc_id {kind}, score double, n_lines long, good_lines long")
+    return in_arrow(rows, scored, f"doc_id {kind}, score double, n_lines long, good_lines long")
 
 
 def is_kept(score: Column) -> Column:
@@ -304,9 +304,9 @@ def drop_poor(docs: DataFrame, model: LineModel, id_col: str = "doc_id", text_co
     names = docs.columns
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found, sizes = line_features(batch.column(names.index(text_col)).to_pylist())
             score = [np.average(p, weights=n + 1) for p, n in zip(model.scores(found), sizes)]
             yield batch.filter(pa.array([bool(s >= LEAST_SCORE) for s in score], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return in_arrow(docs, kept, docs.schema)

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from citeloom.llm.common import learnable
+from citeloom.llm.common import in_arrow, learnable, small
 
 WORD = re.compile(r"\w+")
 # Beginnings of words that are features beside the whole word.
@@ -116,7 +116,7 @@ def telling_features(docs: DataFrame) -> DataFrame:
             columns = [pa.array(words, pa.string()), *[pa.array([h[w] for w in words], pa.int64()) for h in held]]
             yield pa.RecordBatch.from_arrays(columns, names=["word", "clean", "toxic"])
 
-    counts = docs.select("label", "text").mapInArrow(counted, "word string, clean long, toxic long")
+    counts = in_arrow(docs.select("label", "text"), counted, "word string, clean long, toxic long")
     counts = counts.groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     totals = counts.where("word = ''").first()
     if totals is None:
@@ -148,13 +148,13 @@ def fit_severity(docs: DataFrame, labels: DataFrame, limit: int = MAX_DOCS) -> S
     model = SeverityModel({r.word: i for i, r in enumerate(told)}, np.zeros(0), np.zeros(GRADES - 1))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = [model.features(text).tolist() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("label"), pa.array(rows, pa.list_(pa.float32()))], names=["label", "features"]
             )
 
-    made = sample.mapInArrow(measured, "label int, features array<float>").toArrow()
+    made = in_arrow(sample, measured, "label int, features array<float>").toArrow()
     rows = np.array(made.column("features").to_pylist(), dtype=np.float64).reshape(made.num_rows, len(model.places))
     label = made.column("label").to_numpy()
     order = np.lexsort((label, rows.sum(axis=1), *rows.T))  # fits do not depend on the order of rows
@@ -177,7 +177,7 @@ def severities(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", te
     """
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             parts = model.grades(batch.column("text").to_pylist())
             score = 1 - parts[:, 0]
             yield pa.RecordBatch.from_arrays(
@@ -193,4 +193,4 @@ def severities(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", te
 
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(judged, f"doc_id {kind}, severity double, grade int, toxic_score double, toxic boolean")
+    return in_arrow(rows, judged, f"doc_id {kind}, severity double, grade int, toxic_score double, toxic boolean")
