@@ -31,8 +31,8 @@ def components(edges: DataFrame) -> DataFrame:
     """Nodes of an undirected graph with the smallest node of their component: node, label.
 
     ``edges`` has columns u, v. Each round links nodes straight to the smallest node they can see,
-    so the rounds grow with the logarithm of the longest chain; it ends when every node that is
-    linked to hangs on nothing itself. Rounds are written as tables, no node or link reaches the
+    so the rounds grow with the logarithm of the longest chain; it ends when every node hangs on
+    exactly one node, and that one on none. Rounds are written as tables, no node or link reaches the
     driver, and the neighbours of one node are never gathered. The smallest nodes themselves are
     part of the result where they have links.
     """
@@ -40,8 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         edges = cut_lineage(_small_star(_large_star(edges)))
         roots = edges.select(F.col("v").alias("root")).distinct()
-        # every node hangs on exactly one node, and that one on none
-        if edges.join(roots, F.col("u") == F.col("root"), "left_semi").isEmpty():
+        torn = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if torn.isEmpty() and edges.join(roots, F.col("u") == F.col("root"), "left_semi").isEmpty():
             break
     roots = edges.select(F.col("v").alias("node")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(

@@ -139,6 +139,12 @@ def test_components_of_chains_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("path", [(2, 3, 4, 5, 1), (3, 5, 2, 6, 4, 1), (4, 6, 2, 8, 5, 7, 3, 1)])
+def test_components_of_one_path(spark, path):
+    edges = spark.createDataFrame(list(zip(path, path[1:])), "u long, v long")
+    assert sorted(tuple(r) for r in components(edges).collect()) == [(n, 1) for n in sorted(path)]
+
+
 # ---------------------------------------------------------------- decontamination
 
 
