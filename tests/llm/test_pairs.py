@@ -2,6 +2,7 @@
 
 import random
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -191,6 +192,12 @@ def test_overlaps_against_brute_force(spark):
     assert {(r.doc_id, r.start) for r in found if r.doc_id % 10 == 0} == {(10 * i, 30) for i in range(1, 8)}
 
 
+def test_masks_hit_a_stretch_with_any_two_words_changed():
+    masks, n = decontaminate.masks_of(decontaminate.STRETCH), decontaminate.STRETCH
+    places = [{at + i for i, c in enumerate(m) if c == "1"} for m in masks for at in range(n - len(m) + 1)]
+    assert all(any(place.isdisjoint(pair) for place in places) for pair in combinations(range(n), 2))
+
+
 def test_masks_ignore_any_one_word():
     assert {len(m) for m in decontaminate.MASKS} == {decontaminate.SPAN}
     assert all(any(m[i] == "0" for m in decontaminate.MASKS) for i in range(decontaminate.SPAN))
