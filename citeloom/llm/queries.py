@@ -52,7 +52,7 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    found = decontaminate.overlaps(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), shortest=1)
     return found.select("doc_id", "item_id", "start", "equal", "stretch", "n_hits")
 
 

@@ -32,7 +32,7 @@ def near_once(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    return decontaminate.without_overlaps(docs, read(spark, sf_dir, "benchmark"))
+    return decontaminate.without_overlaps(docs, read(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

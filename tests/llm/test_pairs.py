@@ -192,6 +192,32 @@ def test_overlaps_against_brute_force(spark):
     assert {(r.doc_id, r.start) for r in found if r.doc_id % 10 == 0} == {(10 * i, 30) for i in range(1, 8)}
 
 
+def test_overlaps_with_as_many_edits_as_count(spark, monkeypatch):
+    draw = random.Random(3)
+    prose = lambda n: [f"w{draw.randrange(3000)}" for _ in range(n)]
+    items = [(n, prose(n)) for n in [*range(1, 14), 16, 20, 60]]
+    docs = [prose(20) + [w if j % 5 else "changed" for j, w in enumerate(words)] + prose(20) for _, words in items]
+    docs += [words[2:] for _, words in items] + [words[:-2] for _, words in items]
+    for n, words in items:
+        if n <= 13:
+            for places in combinations(range(n), 2 if n > 9 else 1):
+                docs.append(prose(5) + ["changed" if j in places else w for j, w in enumerate(words)] + prose(5))
+        else:
+            for _ in range(20):
+                docs.append(prose(5) + ["changed" if draw.random() < 0.15 else w for w in words] + prose(5))
+        docs.append(prose(5) + words + prose(5))
+    docs = [(i, " ".join(words)) for i, words in enumerate(docs)]
+    items = [(i, " ".join(words)) for i, words in items]
+    monkeypatch.setattr(decontaminate, "SHORTEST", 1)
+    found = decontaminate.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(items, "item_id long, text string"),
+        shortest=1,
+    )
+    got, want = {(r.doc_id, r.item_id) for r in found.collect()}, plain_overlaps(docs, items)
+    assert got == want and len(got) > 300
+
+
 def test_masks_hit_a_stretch_with_any_two_words_changed():
     masks, n = decontaminate.masks_of(decontaminate.STRETCH), decontaminate.STRETCH
     places = [{at + i for i, c in enumerate(m) if c == "1"} for m in masks for at in range(n - len(m) + 1)]
