@@ -437,6 +437,18 @@ def _(spark, sf_dir):
     return readers.doi_list_rows(named).groupBy(F.col("file_name").alias("name"), "doi").agg(F.count("*").alias("n"))
 
 
+# Rows of one JSON array, so files grow in number with the table and not in size.
+ROWS_A_FILE = 200
+
+
+def write_arrays(rows: DataFrame, folder: str) -> None:
+    """The rows, in files of one JSON array each; ``number`` numbers them and is left out."""
+    columns = [c for c in rows.columns if c != "number"]
+    files = rows.groupBy(F.expr(f"number div {ROWS_A_FILE}").alias("file"))
+    arrays = files.agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    arrays.write.partitionBy("file").text(folder)
+
+
 @query("read_org_files", f"WITH {ORGS} SELECT ror FROM orgs")
 def _(spark, sf_dir):
     folder = shared_folder(spark)
@@ -445,18 +457,15 @@ def _(spark, sf_dir):
     rows = org_rows(spark, sf_dir)
     old = rows.withColumn("id", F.concat("id", F.lit("old"))).withColumn("admin", other)
     both = rows.withColumn("admin", version).union(old)
-    # one JSON array per file: rows of a supplier number share a file
-    arrays = both.groupBy(F.pmod(F.hash("id"), F.lit(7)).alias("file")).agg(F.to_json(F.collect_list(F.struct("id", "locations", "admin"))).alias("value"))
-    arrays.write.partitionBy("file").text(folder)
+    write_arrays(both.withColumn("number", F.monotonically_increasing_id()), folder)
     return L.national_orgs(readers.read_orgs(spark, folder))
 
 
 @query("read_repository_files", "SELECT 're3' || page_id AS id, 'R ' || page_id AS name, url FROM pages")
 def _(spark, sf_dir):
     folder = shared_folder(spark)
-    rows = v.frame(spark, sf_dir, "SELECT 're3' || CAST(page_id AS STRING) AS id, 'R ' || CAST(page_id AS STRING) AS name, url, html AS unread FROM pages")
-    arrays = rows.groupBy(F.pmod(F.hash("id"), F.lit(5)).alias("file")).agg(F.to_json(F.collect_list(F.struct("id", "name", "url", "unread"))).alias("value"))
-    arrays.write.partitionBy("file").text(folder)
+    rows = v.frame(spark, sf_dir, "SELECT 're3' || CAST(page_id AS STRING) AS id, 'R ' || CAST(page_id AS STRING) AS name, url, html AS unread, page_id AS number FROM pages")
+    write_arrays(rows, folder)
     return readers.read_repositories(spark, folder).select("id", "name", "url")
 
 
