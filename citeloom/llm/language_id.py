@@ -25,8 +25,8 @@ _BITS = np.uint64(21)
 _SPACE = 0x20
 
 
-def _letters(limit: int = 0x3000) -> np.ndarray:
-    """Lower-case code of each letter, the space of everything else."""
+def _letters(limit: int = 0x110000) -> np.ndarray:
+    """Lower-case code of each letter, the space of everything else, over all planes."""
     out = np.full(limit, _SPACE, dtype=np.uint32)
     for code in range(limit):
         char = chr(code)
@@ -42,8 +42,7 @@ _LETTERS = _letters()
 def gram_codes(text: str | None) -> np.ndarray:
     """Codes of all n-grams of a text: words of letters, lower case, one space around each word."""
     codes = np.frombuffer((" " + (text or "") + " ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    # letters beyond the table have no case
-    low = np.where(codes < len(_LETTERS), _LETTERS[np.minimum(codes, len(_LETTERS) - 1)], codes)
+    low = _LETTERS[codes]
     low = low[(low != _SPACE) | np.concatenate([[True], low[:-1] != _SPACE])].astype(np.uint64)
     if len(low) < 3:
         return np.zeros(0, dtype=np.uint64)

@@ -195,3 +195,14 @@ def test_quality_odd_input(spark, odd_docs, no_docs):
         assert kept.schema == odd_docs.schema
         assert kept.count() == sum(r.score >= quality.LEAST_SCORE for r in rows)
     assert quality.quality_scores(no_docs, model).count() == 0 and quality.drop_poor(no_docs, model).count() == 0
+
+
+def test_signs_of_all_planes_are_no_letters(spark):
+    learned = language_id.profiles(spark.createDataFrame([("en", "the cat and the dog"), ("ja", "日本語のテキスト")], "lang string, text string"))
+    texts = ["\U0001f600 \U0001f680", "\u3001\u3002\u300c\u300d", "\uff11\uff12\uff13", "\ue000\uf8ff \U000f0000", "日本語", "\U0001f600 the cat"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in language_id.predict_languages(docs, learned).collect()}
+    assert [got[i].lang_pred for i in range(len(texts))] == ["und"] * 4 + ["ja", "en"]
+    assert all(got[i].score == 0 for i in range(4))
+    for upper, lower in (("\uff21\uff22", "\uff41\uff42"), ("\U00010400", "\U00010428")):
+        assert list(language_id.gram_codes(upper)) == list(language_id.gram_codes(lower))
