@@ -1,4 +1,4 @@
-"""N-gram Jaccard join: a MinHash LSH forest finds candidates, exact shingle sets verify them."""
+"""N-gram Jaccard join: banded MinHash of a fixed depth finds candidates, exact shingle sets verify them."""
 
 from __future__ import annotations
 
@@ -195,8 +195,8 @@ def near_copies(
     are the connected components. ``n_links`` counts the linked texts, those with another shingle
     set, and ``n_copies`` the documents with this very set.
 
-    Documents with one shingle set are first made one. Its MinHash labels stand in ``trees`` sorted
-    prefix tries; texts whose labels share a prefix of ``matched_depth`` in any trie are candidates
+    Documents with one shingle set are first made one. It has ``trees`` MinHash labels (bands) of
+    ``matched_depth`` values, a depth fixed by threshold and target; texts that share a label are candidates
     and are held together by links to the smallest of a trie node, never by all pairs. Each
     connected group of candidates is then verified exactly: in one task when it is small, else in
     blocks of ``BLOCK``, each pair of blocks on its own, so no task holds more than two of them and
