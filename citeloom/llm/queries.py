@@ -15,6 +15,7 @@ from citeloom.llm import (
     mixing,
     native_sql,
     ngram_join,
+    periodic_runs,
     quality,
     secrets,
     toxicity,
@@ -92,6 +93,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_repeats(read(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -103,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
