@@ -180,3 +180,21 @@ FROM b LEFT JOIN j USING (n)
 
 
 OP10 = _op10()
+
+OP12 = """
+WITH x AS (
+  SELECT vec_id, row_number() OVER () AS place,
+         list_transform(embedding, lambda c: CAST(floor(1024 * CAST(c AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, q.place, c.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM x q JOIN x c ON q.place <> c.place
+  WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+"""

@@ -18,8 +18,10 @@ from citeloom.llm import (
     periodic_runs,
     quality,
     secrets,
+    top_k,
     toxicity,
     url_filter,
+    whitening,
 )
 from citeloom.llm.common import read, remainder
 
@@ -93,6 +95,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digests(secrets.find_secrets(read(spark, sf_dir, "documents")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    model = whitening.fit_whitening(vectors)
+    return whitening.whitened_entries(whitening.whiten(vectors, model), model)
+
+
+def op12_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = periodic_runs.with_repeats(read(spark, sf_dir, "documents"))
     return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
@@ -109,6 +121,8 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_quality": op9_quality,
     "op10_secret_scan": op10_secret_scan,
+    "op11_whitening": op11_whitening,
+    "op12_top_k": op12_top_k,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -124,4 +138,5 @@ ORACLES: dict[str, str] = {
         "'d' || (coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0) % 4)",
     ),
     "op10_secret_scan": native_sql.OP10,
+    "op12_top_k": native_sql.OP12,
 }

@@ -23,7 +23,7 @@ def test_entry_point_has_them_all(spark):
     import __spark_entry__ as contract
 
     names = contract.queries()
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in names} and "pipeline" in names
 
 
 @pytest.mark.parametrize(
@@ -40,6 +40,15 @@ def test_entry_point_has_them_all(spark):
         "op10_secret_scan": {
             "doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string",
         },
+        "op11_whitening": {
+            "vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double",
+            "identity_error": "double",
+        },
+        "op12_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+        "op13_periodic_runs": {
+            "doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint",
+            "runs_sha256": "string", "collapsed_sha256": "string",
+        },
     }.items(),
 )
 def test_contracts(spark, sf_dir, name, kinds):
