@@ -6,27 +6,40 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from citeloom.constants import BATCH_END_MARK
 from citeloom.functions.values import is_version_copy
+from citeloom.session import cut_lineage
 
 
 def drop_version_copies(df: DataFrame, doi: str = "id", plain_publisher: str = "publisher_text") -> DataFrame:
     return df.where(~is_version_copy(doi, plain_publisher))
 
 
-def file_batches(files: DataFrame) -> DataFrame:
+def file_batches(files: DataFrame, partitions: int | None = None) -> DataFrame:
     """``(file_path, file_rank, batch)`` of distinct dump files.
 
     Files are taken in descending order of their path; a new batch starts after each file
-    whose name carries the closing mark. The input is the list of files, which Spark's own
-    planning holds in one place as well: never feed rows of data through this window.
+    whose name carries the closing mark. Two passes of a prefix sum: paths are dealt out by range and
+    counted, then numbered within their range from what the ranges before it hold. Of each range
+    two numbers reach the driver, so no task sees all paths.
     """
-    paths = files.select("file_path").distinct()
-    order = Window.orderBy(F.desc("file_path"))
-    closed = F.count_if(F.contains("file_path", F.lit(BATCH_END_MARK)))
-    before = order.rowsBetween(Window.unboundedPreceding, -1)
-    return paths.select(
+    spark = files.sparkSession
+    if partitions is None:
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    closing = F.contains("file_path", F.lit(BATCH_END_MARK))
+    ranged = files.select("file_path").distinct().repartitionByRange(partitions, F.desc("file_path"))
+    # written, as the limits of the ranges come from a sample
+    ranged = cut_lineage(ranged.select("file_path", closing.alias("closing"), F.spark_partition_id().alias("part")))
+    counts = ranged.groupBy("part").agg(F.count("*").alias("n"), F.count_if("closing").alias("n_closing")).collect()
+    offsets, files_before, closed_before = [], 0, 0
+    for row in sorted(counts):
+        offsets.append((row.part, files_before, closed_before))
+        files_before, closed_before = files_before + row.n, closed_before + row.n_closing
+    before = spark.createDataFrame(offsets, "part int, files_before long, closed_before long")
+    order = Window.partitionBy("part").orderBy(F.desc("file_path"))
+    closed = F.count_if("closing").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return ranged.join(before, "part").select(
         "file_path",
-        F.row_number().over(order).alias("file_rank"),
-        closed.over(before).alias("batch"),
+        (F.row_number().over(order) + F.col("files_before")).alias("file_rank"),
+        (closed + F.col("closed_before")).alias("batch"),
     )
 
 

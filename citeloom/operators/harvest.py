@@ -76,6 +76,28 @@ def time_slices(spark: SparkSession, start: datetime, end: datetime, interval: s
     )
 
 
+def calendar(bounds: DataFrame, interval: str = "minute") -> DataFrame:
+    """The slices of :func:`time_slices` for bounds that are data: one row with columns ``start`` and ``end``.
+
+    The calendar is part of the plan, so nothing runs before the result is asked for. Null bounds
+    give no slices.
+    """
+    interval = slice_length(interval)
+    unit = "MONTH" if interval == "month" else "SECOND"
+    length = 1 if interval == "month" else SECONDS[interval]
+    span = F.timestamp_diff(unit, F.col("start"), F.col("end"))
+    # whole slices that fit, and one more that may be short or begin at the end
+    last = F.floor(span / length).cast("int")
+    edges = bounds.where("start < end").select("start", "end", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+
+    def edge(i: Column) -> Column:
+        return F.timestamp_add(unit, (i * length).cast("int"), F.col("start"))
+
+    return edges.select(
+        edge(F.col("i")).alias("slice_start"), F.least(edge(F.col("i") + 1), F.col("end")).alias("slice_end")
+    ).where(F.col("slice_start") < F.col("slice_end"))
+
+
 def slice_name(start: Column | str, end: Column | str, prefix: str = SLICE_PREFIX) -> Column:
     """Name of the file of a slice, without its suffix."""
     return F.concat(
@@ -91,8 +113,8 @@ def assign_slices(df: DataFrame, ts: str, interval: str = "minute") -> DataFrame
     return df.withColumns({"slice_start": start, "slice_end": end})
 
 
-def in_window(df: DataFrame, ts: str, start: datetime, end: datetime) -> DataFrame:
-    """Rows updated from start to end, both included."""
+def in_window(df: DataFrame, ts: str, start: datetime | Column, end: datetime | Column) -> DataFrame:
+    """Rows updated from start to end, both included; the limits may be scalar subqueries."""
     return df.where(F.col(ts).between(F.lit(start), F.lit(end)))
 
 
@@ -103,7 +125,7 @@ def pending_slices(slices: DataFrame, found: DataFrame, prefix: str = SLICE_PREF
 
 
 def slice_coverage(
-    slices: DataFrame, found: DataFrame, start: datetime, end: datetime, prefix: str = SLICE_PREFIX
+    slices: DataFrame, found: DataFrame, start: datetime | Column, end: datetime | Column, prefix: str = SLICE_PREFIX
 ) -> DataFrame:
     """One row: expected slices, found files, missed, and the status of the job.
 

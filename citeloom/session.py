@@ -19,6 +19,9 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # sides are broadcast by Spark's own check of their size only; no hints anywhere
     "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    # the state of streams on disk, of which a batch writes its changes only
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # the expressions are large: do not record the Python call site of each of their parts
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

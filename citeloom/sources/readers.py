@@ -125,8 +125,22 @@ def read_publications(
 
 
 def split_csv(line: Column, separator: str) -> Column:
-    """Cells of a line; separators inside double quotes do not split."""
-    cells = F.split(line, rf'{separator}(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    """Cells of a line; separators inside double quotes do not split.
+
+    Every second piece between quotes is quoted: its separators are hidden while the line is split. Each
+    step passes over the line once, whatever its length.
+    """
+    hidden = "\U0010ffff"  # no character
+
+    def quoted(text: Column) -> Column:
+        pieces = F.transform(
+            F.split(text, '"'),
+            lambda piece, i: F.when(i % 2 == 1, F.translate(piece, separator, hidden)).otherwise(piece),
+        )
+        cells = F.split(F.array_join(pieces, '"'), separator)
+        return F.transform(cells, lambda cell: F.translate(cell, hidden, separator))
+
+    cells = F.when(F.contains(line, F.lit('"')), quoted(line)).otherwise(F.split(line, separator))
     return F.transform(cells, lambda c: F.trim(F.regexp_replace(F.trim(c), '^"|"$', "")))
 
 

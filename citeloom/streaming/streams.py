@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from citeloom.functions.records import parse_records
-from citeloom.operators.dedupe import keep_first
 
 MONDAY = "4 days"  # windows count from a Thursday
 
@@ -24,35 +23,45 @@ def stream_dump(spark: SparkSession, root: str, pattern: str = "*.jsonl.gz") ->
     return parse_records(lines, keep=("file_path",))
 
 
+def slice_counts(rows: DataFrame, ts: str, interval: str) -> DataFrame:
+    """Rows per update slice: slice_start, slice_end, n_rows. Rows without a time are in no slice."""
+    offset = MONDAY if "week" in interval or interval == "7 days" else None
+    window = F.window(ts, interval, startTime=offset) if offset else F.window(ts, interval)
+    counted = rows.groupBy(window.alias("w")).agg(F.count("*").alias("n_rows"))
+    return counted.select(F.col("w.start").alias("slice_start"), F.col("w.end").alias("slice_end"), "n_rows")
+
+
 def stream_slice_counts(stream: DataFrame, ts: str, interval: str, delay: str) -> DataFrame:
-    """Rows per update slice; ``delay`` is how much later than its slice a row may still come.
+    """Rows per closed update slice; ``delay`` is how much later than its slice a row may still come.
 
-    Rows that come later than that are not counted, so take it from the longest lag of the
-    source. In append mode a slice is written once, when the watermark has passed it: the last
-    slices stay open. :func:`slice_count_sink` writes open slices too.
+    In append mode a slice is written once, when the watermark has passed it, and leaves the state then, which
+    so holds the slices of about one delay. Rows that come later than that are not counted here, and the
+    last slices stay open: :func:`slice_count_sink` counts both.
     """
-    offset = MONDAY if "week" in interval or interval == "7 days" else None
-    window = F.window(ts, interval, startTime=offset) if offset else F.window(ts, interval)
-    counted = stream.withWatermark(ts, delay).groupBy(window.alias("w")).agg(F.count("*").alias("n_rows"))
-    return counted.select(
-        F.col("w.start").alias("slice_start"), F.col("w.end").alias("slice_end"), "n_rows"
-    )
+    return slice_counts(stream.withWatermark(ts, delay), ts, interval)
 
 
-def slice_count_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch`` in update mode: the slices each micro-batch has changed, in a folder of its own."""
+def batch_sink(path: str, made: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: what is made of a micro-batch goes to a folder of its own, and replaces it on a retry."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        made(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
+def slice_count_sink(path: str, ts: str, interval: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: the rows each micro-batch adds to its slices, however late they are.
+
+    A batch is counted on its own, so nothing is kept between batches; :func:`read_slice_counts` adds up.
+    """
+    return batch_sink(path, lambda batch: slice_counts(batch, ts, interval))
+
+
 def read_slice_counts(spark: SparkSession, path: str) -> DataFrame:
-    """The latest count of each slice that :func:`slice_count_sink` has written, open ones included."""
-    written = spark.read.parquet(path)
-    latest = written.groupBy("slice_start", "slice_end").agg(F.max_by("n_rows", "batch").alias("n_rows"))
-    return latest
+    """All rows of each slice that :func:`slice_count_sink` has written, open slices included."""
+    parts = spark.read.parquet(path)
+    return parts.groupBy("slice_start", "slice_end").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def stream_keep_first(stream: DataFrame, key: str, ts: str, delay: str) -> DataFrame:
@@ -65,23 +74,23 @@ def stream_keep_first(stream: DataFrame, key: str, ts: str, delay: str) -> DataF
     return first.union(marked.where(F.col(key).isNull()))
 
 
-def keep_first_sink(path: str, key: str, order: list[Column | str], row_id: str) -> Callable[[DataFrame, int], None]:
-    """For ``foreachBatch``: appends rows whose key no earlier batch has written.
+def stream_keep_first_in_order(stream: DataFrame, key: str, order: list[Column | str]) -> DataFrame:
+    """Rows whose key no earlier micro-batch has had; of one batch the first by ``order``.
 
-    Within the batch the first row by the given order is kept. Each batch goes to its own
-    folder, overwritten when the batch is retried, so a retry does not write twice.
+    To be run in update mode. The state store holds the first row of each key, so a batch looks up
+    its own keys only and reads nothing of what was written before; rows of a hot key are combined before the
+    shuffle. A key is new when all its rows carry the time of one batch, which Spark keeps for
+    retries. ``order`` is ascending. Rows without a key all pass, beside the state.
     """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = keep_first(batch, key, [], order, row_id)
-        if batch_id > 0:
-            earlier = spark.read.option("basePath", path).parquet(path).where(F.col("batch") < batch_id)
-            seen = earlier.where(F.col(key).isNotNull()).select(key).distinct()
-            first = first.join(seen, key, "left_anti")
-        first.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    return write
+    arrived = stream.withColumn("_arrived", F.current_timestamp())
+    place = F.struct("_arrived", *order)
+    state = arrived.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(
+        F.min_by(F.struct(*stream.columns), place).alias("_first"),
+        F.min("_arrived").alias("_earliest"),
+        F.max("_arrived").alias("_latest"),
+    )
+    new = state.where("_earliest = _latest").select("_first.*")
+    return new.union(stream.where(F.col(key).isNull()))
 
 
 def run_available(stream: DataFrame, checkpoint: str, **sink) -> None:

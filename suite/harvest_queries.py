@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from citeloom.operators import catalogue as C, harvest as H, lookups as L, registry as G, structures as P
 from citeloom.plans.jobs import catalogue_from_dump, enrich_repositories, save_affiliation_tables, save_catalogue
@@ -155,13 +157,10 @@ def events(spark, sf_dir) -> DataFrame:
     return v.frame(spark, sf_dir, "SELECT event_id, ts, user_id FROM events")
 
 
-def event_span(spark, sf_dir):
-    """First day and the day after the last of the events: two values."""
-    row = events(spark, sf_dir).agg(
-        F.min(F.date_trunc("day", "ts")).alias("a"), F.max(F.timestamp_add("DAY", F.lit(1), F.date_trunc("day", "ts"))).alias("b")
-    )
-    first = row.first()
-    return first.a, first.b
+def event_span(spark, sf_dir) -> DataFrame:
+    """First day and the day after the last of the events: one row, start and end."""
+    day = F.date_trunc("day", "ts")
+    return events(spark, sf_dir).agg(F.min(day).alias("start"), F.max(F.timestamp_add("DAY", F.lit(1), day)).alias("end"))
 
 
 for interval in ("hour", "day", "week", "month"):
@@ -185,10 +184,9 @@ STAMP = "'%Y%m%d%H%M%S'"
 @query("events_in_window", "SELECT event_id FROM events WHERE ts BETWEEN (SELECT min(ts) FROM events) + INTERVAL 2 DAY AND (SELECT max(ts) FROM events) - INTERVAL 2 DAY")
 def _(spark, sf_dir):
     rows = events(spark, sf_dir)
-    bounds = rows.agg(
-        F.timestamp_add("DAY", F.lit(2), F.min("ts")).alias("a"), F.timestamp_add("DAY", F.lit(-2), F.max("ts")).alias("b")
-    ).first()
-    return H.in_window(rows, "ts", bounds.a, bounds.b).select("event_id")
+    first = events(spark, sf_dir).agg(F.timestamp_add("DAY", F.lit(2), F.min("ts"))).scalar()
+    last = events(spark, sf_dir).agg(F.timestamp_add("DAY", F.lit(-2), F.max("ts"))).scalar()
+    return H.in_window(rows, "ts", first, last).select("event_id")
 
 
 @query(
@@ -197,7 +195,7 @@ def _(spark, sf_dir):
     f"FROM {HOURS} LEFT JOIN events ON date_trunc('hour', ts) = slice_start GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    slices = H.time_slices(spark, *event_span(spark, sf_dir), "hour")
+    slices = H.calendar(event_span(spark, sf_dir), "hour")
     counts = H.assign_slices(events(spark, sf_dir), "ts", "hour").groupBy("slice_start").agg(F.count("*").alias("n_rows"))
     return slices.join(counts, "slice_start", "left").fillna(0, ["n_rows"])
 
@@ -214,7 +212,7 @@ def found_minutes(spark, sf_dir) -> DataFrame:
     f"strftime(slice_start + INTERVAL 1 MINUTE, {STAMP}) AS name FROM {MINUTES} WHERE slice_start NOT IN (SELECT date_trunc('minute', ts) FROM events)",
 )
 def _(spark, sf_dir):
-    slices = H.time_slices(spark, *event_span(spark, sf_dir), "minute")
+    slices = H.calendar(event_span(spark, sf_dir), "minute")
     return H.pending_slices(slices, found_minutes(spark, sf_dir))
 
 
@@ -224,8 +222,9 @@ def _(spark, sf_dir):
     f"FROM (SELECT (SELECT count(*) FROM {MINUTES}) AS n, (SELECT count(DISTINCT date_trunc('minute', ts)) FROM events) AS f)",
 )
 def _(spark, sf_dir):
-    start, end = event_span(spark, sf_dir)
-    return H.slice_coverage(H.time_slices(spark, start, end, "minute"), found_minutes(spark, sf_dir), start, end)
+    span = event_span(spark, sf_dir)
+    limits = [event_span(spark, sf_dir).select(name).scalar() for name in ("start", "end")]
+    return H.slice_coverage(H.calendar(span, "minute"), found_minutes(spark, sf_dir), *limits)
 
 
 def harvest_jobs(directory: str) -> str:
@@ -576,14 +575,23 @@ def _(spark, sf_dir):
     return spark.read.schema("id string, language string").parquet(f"{out}/rows")
 
 
-def event_files(spark, sf_dir, n: int = 3) -> DataFrame:
-    """The events as a stream of ``n`` files, one per micro-batch, each over the whole time: late rows."""
-    folder = shared_folder(spark)
+def event_rows(spark, sf_dir) -> DataFrame:
     rows = v.frame(spark, sf_dir, "SELECT event_id, ts, user_id FROM events").withColumn("ts", F.col("ts").cast("timestamp"))
-    rows = rows.withColumn("key", F.when(F.col("user_id") % 7 != 0, F.col("user_id").cast("string")))
+    return rows.withColumn("key", F.when(F.col("user_id") % 7 != 0, F.col("user_id").cast("string")))
+
+
+def stream_in_parts(rows: DataFrame, part: Column, run: Callable[[DataFrame, str], None], n: int = 3) -> None:
+    """The rows arrive in ``n`` parts; after each one the stream ``run`` starts goes on from its checkpoint."""
+    spark = rows.sparkSession
+    folder = shared_folder(spark)
     for i in range(n):
-        rows.where(F.pmod("event_id", F.lit(n)) == i).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        rows.where(part == i).write.mode("append").parquet(f"{folder}/in")
+        run(spark.readStream.schema(rows.schema).parquet(f"{folder}/in"), f"{folder}/checkpoint")
+
+
+def third() -> Column:
+    """Parts that each lie over the whole time, so later ones bring late rows."""
+    return F.pmod("event_id", F.lit(3))
 
 
 @query(
@@ -591,11 +599,34 @@ def event_files(spark, sf_dir, n: int = 3) -> DataFrame:
     "SELECT date_trunc('hour', ts) AS slice_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS slice_end, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY ALL",
 )
 def _(spark, sf_dir):
-    folder = shared_folder(spark)
-    counted = streams.stream_slice_counts(event_files(spark, sf_dir), "ts", "1 hour", "3650 days")
-    sink = streams.slice_count_sink(f"{folder}/rows")
-    streams.run_available(counted, f"{folder}/checkpoint", foreach_batch=sink, mode="update")
-    return streams.read_slice_counts(spark, f"{folder}/rows")
+    out = f"{shared_folder(spark)}/rows"
+    sink = streams.slice_count_sink(out, "ts", "1 hour")
+
+    def run(stream, checkpoint):
+        streams.run_available(stream, checkpoint, foreach_batch=sink)
+
+    stream_in_parts(event_rows(spark, sf_dir), third(), run)
+    return streams.read_slice_counts(spark, out)
+
+
+@query(
+    "stream_closed_slices",
+    "SELECT date_trunc('hour', ts) AS slice_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS slice_end, CAST(count(*) AS BIGINT) AS n_rows FROM events "
+    "WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events) GROUP BY ALL",
+)
+def _(spark, sf_dir):
+    out = f"{shared_folder(spark)}/rows"
+    rows = event_rows(spark, sf_dir)
+    first, last = (rows.agg(f("ts")).scalar() for f in (F.min, F.max))
+    # three parts in the order of time
+    share = F.timestamp_diff("MICROSECOND", first, F.col("ts")) * 3 / (F.timestamp_diff("MICROSECOND", first, last) + 1)
+
+    def run(stream, checkpoint):
+        counted = streams.stream_slice_counts(stream, "ts", "1 hour", "2 hours")
+        streams.run_available(counted, checkpoint, format="parquet", path=out)
+
+    stream_in_parts(rows, F.floor(share), run)
+    return spark.read.parquet(out)
 
 
 @query(
@@ -604,21 +635,28 @@ def _(spark, sf_dir):
     "UNION ALL SELECT NULL, CAST(count(*) AS BIGINT) FROM events WHERE user_id % 7 = 0",
 )
 def _(spark, sf_dir):
-    folder = shared_folder(spark)
-    first = streams.stream_keep_first(event_files(spark, sf_dir), "key", "ts", "3650 days").select("key")
-    streams.run_available(first, f"{folder}/checkpoint", format="parquet", path=f"{folder}/rows")
-    return spark.read.schema("key string").parquet(f"{folder}/rows").groupBy("key").agg(F.count("*").alias("n"))
+    out = f"{shared_folder(spark)}/rows"
+
+    def run(stream, checkpoint):
+        first = streams.stream_keep_first(stream, "key", "ts", "3650 days").select("key")
+        streams.run_available(first, checkpoint, format="parquet", path=out)
+
+    stream_in_parts(event_rows(spark, sf_dir), third(), run)
+    return spark.read.schema("key string").parquet(out).groupBy("key").agg(F.count("*").alias("n"))
 
 
 @query(
     "stream_keep_first_in_order",
-    "SELECT CAST(user_id AS VARCHAR) AS key, min(event_id) AS event_id FROM events WHERE user_id % 7 <> 0 GROUP BY 1 "
+    "SELECT CAST(user_id AS VARCHAR) AS key, min_by(event_id, (event_id % 3) * 1000000000000 + event_id) AS event_id FROM events WHERE user_id % 7 <> 0 GROUP BY 1 "
     "UNION ALL SELECT NULL, event_id FROM events WHERE user_id % 7 = 0",
 )
 def _(spark, sf_dir):
-    folder = shared_folder(spark)
-    # one micro-batch for all files, so the order holds over all of them
-    rows = event_files(spark, sf_dir, 1).select("key", "event_id")
-    sink = streams.keep_first_sink(f"{folder}/rows", "key", ["event_id"], "event_id")
-    streams.run_available(rows, f"{folder}/checkpoint", foreach_batch=sink)
-    return spark.read.parquet(f"{folder}/rows").select("key", "event_id")
+    """The first row of a key in the first part that has it."""
+    out = f"{shared_folder(spark)}/rows"
+
+    def run(stream, checkpoint):
+        first = streams.stream_keep_first_in_order(stream.select("key", "event_id"), "key", ["event_id"])
+        streams.run_available(first, checkpoint, foreach_batch=streams.batch_sink(out), mode="update")
+
+    stream_in_parts(event_rows(spark, sf_dir), third(), run)
+    return spark.read.parquet(out).select("key", "event_id")

@@ -3,6 +3,7 @@
 import gzip
 import json
 import os
+import random
 from datetime import datetime
 
 import pytest
@@ -19,7 +20,9 @@ from citeloom.plans.jobs import (
 from citeloom.session import cut_lineage, shared_folder, spread, temporary_cuts
 from citeloom.sources.sinks import append_state
 from citeloom.sources import readers
+from citeloom.sources.readers import split_csv
 from citeloom.streaming import streams
+from suite.all_queries import QUERIES
 from tests.conftest import plan_of
 
 
@@ -394,6 +397,61 @@ def test_merge_matches_missing_keys(spark):
 # ---------------------------------------------------------------- harvest
 
 
+def test_file_batches_in_two_passes(spark):
+    draw = random.Random(1)
+    names = {f"u{draw.randrange(9)}/p_{draw.randrange(90)}{draw.randrange(9):04}.jsonl.gz" for _ in range(900)}
+    files = spark.createDataFrame([(n,) for n in names] * 2, "file_path string")
+    batch, expected = 0, {}
+    for rank, n in enumerate(sorted(names, reverse=True), 1):
+        expected[n] = (rank, batch)
+        batch += "0000.jsonl.gz" in n
+    assert batch > 0
+    for partitions in (None, 1, 7, 40):
+        rows = D.file_batches(files, partitions)
+        assert {r.file_path: (r.file_rank, r.batch) for r in rows.collect()} == expected
+        assert "SinglePartition" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert D.file_batches(files.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("interval", ["minute", "bogus", "hour", "day", "week", "month"])
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        (datetime(2024, 1, 31, 23, 0), datetime(2024, 2, 1, 0, 30)), (datetime(2024, 1, 15), datetime(2024, 3, 20)), (datetime(2024, 1, 1), datetime(2024, 1, 29)),
+        (datetime(2024, 1, 31), datetime(2024, 3, 1)), (datetime(2024, 1, 1), datetime(2024, 1, 1)), (datetime(2024, 1, 2), datetime(2024, 1, 1)),
+    ],
+)
+def test_calendar_is_the_same_as_slices(spark, interval, start, end):
+    bounds = spark.createDataFrame([(start, end)], "start timestamp, end timestamp")
+    got = H.calendar(bounds, interval).orderBy("slice_start").collect()
+    assert got == H.time_slices(spark, start, end, interval).orderBy("slice_start").collect()
+    assert H.calendar(bounds.selectExpr("null::timestamp AS start", "end"), interval).count() == 0
+
+
+def test_spans_need_no_job(spark):
+    times = [datetime(2024, 1, 1, h) for h in (1, 5, 9)]
+    rows = spark.createDataFrame([(t, H.SLICE_PREFIX + "20240101050000") for t in times], "ts timestamp, name string")
+    spark.sparkContext.setJobGroup("spans", "")
+    span = rows.agg(F.min("ts").alias("start"), F.max("ts").alias("end"))
+    limits = [span.select(name).scalar() for name in ("start", "end")]
+    covered = H.slice_coverage(H.calendar(span, "hour"), rows.select("name").distinct(), *limits)
+    inside = H.in_window(rows, "ts", F.timestamp_add("HOUR", F.lit(2), limits[0]), limits[1])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spans")
+    assert tuple(covered.first()) == (8, 1, 7, "error") and inside.count() == 2
+    spark.sparkContext.setJobGroup("", "")
+
+
+def test_csv_cells(spark):
+    long = ";".join(f'"a;{i}";b' for i in range(100_000))
+    lines = ['a,"b,c",d', '"x";"y;z" ; "",w', "", ",", '"10.1/a","',  'q""r,"s"",t"', "a\"b,c\"d,e", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*lines, long])], "i int, t string")
+    got = {r.i: (r.c, r.s) for r in rows.select("i", split_csv(F.col("t"), ",").alias("c"), split_csv(F.col("t"), ";").alias("s")).collect()}
+    assert got[0][0] == ["a", "b,c", "d"] and got[1][1] == ["x", "y;z", '",w']
+    assert got[2][0] == [""] and got[3][0] == ["", ""] and got[5][0] == ['q""r', 's"",t'] and got[6][0] == ["a\"b,c\"d", "e"]
+    assert got[7] == (None, None) and len(long) > 1_000_000
+    assert got[8][1] == [x for i in range(100_000) for x in (f"a;{i}", "b")]
+
+
 @pytest.mark.parametrize(
     "interval,count", [("minute", 90), ("bogus", 90), ("hour", 2), ("day", 1), ("week", 1), ("month", 1)]
 )
@@ -464,18 +522,20 @@ def test_stream_keep_first_across_batches(spark, tmp_path):
     def run(rows):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(source))
         stream = spark.readStream.schema(schema).parquet(str(source))
-        sink = streams.keep_first_sink(str(tmp_path / "out"), "key", ["place"], "id")
-        streams.run_available(stream, str(tmp_path / "cp"), foreach_batch=sink)
+        first = streams.stream_keep_first_in_order(stream, "key", ["place"])
+        streams.run_available(first, str(tmp_path / "cp"), foreach_batch=streams.batch_sink(str(tmp_path / "out")), mode="update")
         return sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
 
     assert run([("a", 2, 1), ("a", 1, 2), (None, 1, 3), (None, 1, 4)]) == [2, 3, 4]
     assert run([("a", 0, 5), ("b", 1, 6), ("b", 0, 7), (None, 0, 8)]) == [2, 3, 4, 7, 8]
+    assert run([("b", 0, 9), ("a", 0, 10)]) == [2, 3, 4, 7, 8]
+    assert run([("c", 5, 11)] + [("c", 5 + i, 20 + i) for i in range(1, 300)] + [("a", 0, 12)]) == [2, 3, 4, 7, 8, 11]
 
 
 def test_retried_batch_writes_once(spark, tmp_path):
-    sink = streams.keep_first_sink(str(tmp_path / "out"), "key", ["id"], "id")
+    sink = streams.batch_sink(str(tmp_path / "out"))
     first = spark.createDataFrame([("a", 1)], "key string, id int")
-    second = spark.createDataFrame([("a", 2), ("b", 3)], "key string, id int")
+    second = spark.createDataFrame([("b", 3)], "key string, id int")
     sink(first, 0)
     sink(second, 1)
     sink(second, 1)
@@ -488,9 +548,8 @@ def test_stream_counts_late_rows_and_open_slices(spark, tmp_path):
     def run(rows):
         spark.createDataFrame(rows, schema).write.mode("append").parquet(str(source))
         stream = spark.readStream.schema(schema).parquet(str(source))
-        counted = streams.stream_slice_counts(stream, "ts", "1 hour", "30 days")
-        sink = streams.slice_count_sink(str(tmp_path / "out"))
-        streams.run_available(counted, str(tmp_path / "cp"), foreach_batch=sink, mode="update")
+        sink = streams.slice_count_sink(str(tmp_path / "out"), "ts", "1 hour")
+        streams.run_available(stream, str(tmp_path / "cp"), foreach_batch=sink)
         rows = streams.read_slice_counts(spark, str(tmp_path / "out")).orderBy("slice_start").collect()
         return [(r.slice_start, r.n_rows) for r in rows]
 
@@ -499,6 +558,23 @@ def test_stream_counts_late_rows_and_open_slices(spark, tmp_path):
     assert run([(early, 3), (early, 4)]) == [(early, 3), (late, 1)]
 
 
+def test_stream_closed_slices_leave_the_state(spark, tmp_path):
+    source, out, schema = tmp_path / "in", str(tmp_path / "out"), "ts timestamp, id int"
+
+    def run(*times):
+        rows = [(t, 0) for t in times]
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(schema).parquet(str(source))
+        counted = streams.stream_slice_counts(stream, "ts", "1 hour", "1 hour")
+        streams.run_available(counted, str(tmp_path / "cp"), format="parquet", path=out)
+        return sorted((r.slice_start.hour, r.n_rows) for r in spark.read.parquet(out).collect())
+
+    at = lambda hour, minute=0: datetime(2024, 1, 1, hour, minute)
+    assert run(at(1), at(1, 30), at(2)) == []
+    assert run(at(2, 30), at(4)) == [(1, 2), (2, 2)]
+    assert run(at(1), at(9)) == [(1, 2), (2, 2), (4, 1)]  # the late row is not counted here
+
+
 def test_stream_keeps_rows_without_a_key(spark, tmp_path):
     source, schema = tmp_path / "in", "key string, ts timestamp"
     day = datetime(2024, 1, 1)
