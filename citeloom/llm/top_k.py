@@ -22,7 +22,7 @@ QUERIES = 1_024
 BLOCKS = 16
 # Entries read from each list in the first round, and how the depth grows from round to round.
 DEPTH = 64
-GROWTH = 1.5
+GROWTH = 2.0
 # Reading stops when so many times k candidates are left.
 LEFT = 4
 
@@ -32,9 +32,13 @@ class Lists:
 
     def __init__(self, vectors: np.ndarray, ranks: np.ndarray):
         self.vectors, self.ranks = vectors, ranks
-        self.places = np.argsort(vectors, axis=0, kind="stable")
-        self.values = np.take_along_axis(vectors, self.places, axis=0).astype(np.float64)
-        self.largest = float(np.abs(self.values[[0, -1]]).max(initial=0.0))
+        turned = np.ascontiguousarray(vectors.T)
+        places = np.argsort(turned, axis=1, kind="stable")
+        values = np.take_along_axis(turned, places, axis=1).astype(np.float64)
+        # a row for each list; each dimension twice: from its smallest value on, and from its greatest one on
+        self.places = np.concatenate([places, places[:, ::-1]])
+        self.values = np.concatenate([values, values[:, ::-1]])
+        self.largest = float(np.abs(values[:, [0, -1]]).max(initial=0.0))
 
     def insiders(self, query: np.ndarray, k: int) -> np.ndarray:
         """Places of the candidates that may be among the k best; all others are ruled out.
@@ -42,37 +46,38 @@ class Lists:
         The list of a dimension is read from the end where its products are greatest. After each
         round a candidate's score lies between what was read of it plus the least product of each
         list it was not met in, and the same with the products the lists have come down to. Who
-        cannot reach the k-th best lower bound is out, unless his bounds are equal.
+        cannot reach the k-th best lower bound is out, unless his bounds are equal. No upper bound is below that of
+        a candidate not met at all, so nobody is looked at while that one could still win.
         """
         n, used = len(self.vectors), np.flatnonzero(query)
         if n <= LEFT * k or not len(used):
             return np.arange(n)
-        down = query[used] > 0
-        weight = query[used].astype(np.float64)
-        columns = np.arange(len(used))
+        lists = used + np.where(query[used] > 0, self.vectors.shape[1], 0)
+        weight = query[used].astype(np.float64)[:, None]
+        rows = np.arange(len(used))[:, None]
         # products above the least one of their list, so that all are 0 or more
-        least = np.where(down, self.values[0, used], self.values[-1, used]) * weight
+        least = self.values[lists, -1:] * weight
         # rounding of sums of products, on the safe side
         slack = len(used) * 2.0**-48 * (np.abs(weight).sum() * self.largest + 1)
         read = np.zeros(n)
-        met = np.zeros((n, len(used)), dtype=bool)
+        met, noted = None, 0
         alive = np.arange(n)
         begin, end = 0, min(DEPTH, n)
         while True:
-            forward, backward = slice(begin, end), slice(n - 1 - begin, n - 1 - end if end < n else None, -1)
-            places = np.where(down, self.places[backward][:, used], self.places[forward][:, used])
-            gained = np.where(down, self.values[backward][:, used], self.values[forward][:, used]) * weight - least
-            read += np.bincount(places.ravel(), gained.ravel(), n)
-            if end == n:
-                reach = read[alive]
-            else:
-                met[places, columns] = True
-                frontier = gained[-1]
-                reach = read[alive] + frontier.sum() - met[alive] @ frontier
+            gained = self.values[lists, begin:end] * weight - least
+            read += np.bincount(self.places[lists, begin:end].ravel(), gained.ravel(), n)
+            frontier = gained[:, -1]
             kth = np.partition(read[alive], len(alive) - k)[-k]
-            alive = alive[reach + slack >= kth - slack]
-            if end == n or len(alive) <= LEFT * k:
-                return alive
+            if end == n:
+                return alive[read[alive] + slack >= kth - slack]
+            if frontier.sum() + slack < kth - slack:
+                met = np.zeros((len(used), n), dtype=bool) if met is None else met
+                met[rows, self.places[lists, noted:end]] = True
+                noted = end
+                reach = read[alive] + frontier.sum() - frontier @ met[:, alive]
+                alive = alive[reach + slack >= kth - slack]
+                if len(alive) <= LEFT * k:
+                    return alive
             begin, end = end, min(n, int(end * GROWTH) + 1)
 
     def best(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
