@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from citeloom.functions.records import affiliation_list, affiliation_string, empty_array, object_name, or_empty, PERSON
 from citeloom.functions.text import file_key
 from citeloom.functions.values import has_national_country, is_national_client, is_national_publisher_name
+from citeloom.session import cut_lineage
 
 MATCH_TYPES = ["country", "grid", "rnsr", "ror"]
 CONSOLIDATED = ["doi_publisher", "doi_client_id", "affiliation"]
@@ -132,6 +133,54 @@ def merge_affiliations(matched: DataFrame, detailed: DataFrame) -> DataFrame:
     return merged.withColumnRenamed("_l_affiliation", "affiliation").select(*MERGED).distinct()
 
 
+def _bucket_keys(df: DataFrame) -> DataFrame:
+    """The join keys as ``_k_...``: a missing value is an empty text, so plain equality serves."""
+    return df.withColumns({f"_k_{k}": F.coalesce(k, F.lit("")) for k in CONSOLIDATED})
+
+
+BUCKET_KEYS = [f"_k_{k}" for k in CONSOLIDATED]
+
+
+def bucket_detailed(detailed: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Save the detailed rows as a table bucketed and sorted by the keys that they are merged on.
+
+    The rows are shuffled once, here; every :func:`merge_bucketed` after that reads its buckets as
+    they lie. A bucketed scan cannot be split where one key is hot, so the rows of a key with more than
+    an average bucket's rows are dealt out to so many parts (``_part``) that each part fits one; there
+    are fewer such keys than buckets, kept in the table ``{table}_hot``. ``path`` is a folder that all
+    executors share.
+    """
+    spark = detailed.sparkSession
+    rows = _bucket_keys(detailed.withColumnsRenamed({"doi_id": "doi", "type": "creator_contributor"}))
+    rows = cut_lineage(rows.select("doi", "doi_file_name", "creator_contributor", *BUCKET_KEYS))
+    fair = max(1, -(-rows.count() // buckets))
+    counts = rows.groupBy(*BUCKET_KEYS).agg(F.count("*").alias("n")).where(F.col("n") > fair)
+    hot = counts.select(*BUCKET_KEYS, F.ceil(F.col("n") / fair).cast("int").alias("_parts"))
+    hot.write.option("path", f"{path}/hot").saveAsTable(f"{table}_hot")
+    part = F.pmod(F.xxhash64("doi", "doi_file_name", "creator_contributor"), "_parts").cast("int")
+    dealt = rows.join(spark.table(f"{table}_hot"), BUCKET_KEYS, "left").withColumns(
+        {"_part": F.coalesce(part, F.lit(0)), "_met": F.lit(True)}
+    )
+    by = [*BUCKET_KEYS, "_part"]
+    written = dealt.drop("_parts").repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*by)
+    written.option("path", f"{path}/rows").saveAsTable(table)
+
+
+def merge_bucketed(matched: DataFrame, table: str) -> DataFrame:
+    """:func:`merge_affiliations` with a table of :func:`bucket_detailed`.
+
+    The table is read once and not shuffled. A matched row of a hot key meets each part of it; such
+    a key has detailed rows, so a part without any is left out instead of kept as an unmatched row.
+    """
+    spark = matched.sparkSession
+    left = _bucket_keys(matched.distinct()).drop("doi_publisher", "doi_client_id")
+    left = left.join(spark.table(f"{table}_hot"), BUCKET_KEYS, "left")
+    left = left.withColumn("affiliation", F.nullif("affiliation", F.lit("")))
+    left = left.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0)))))
+    merged = left.join(spark.table(table), [*BUCKET_KEYS, "_part"], "left")
+    return merged.where("_parts IS NULL OR _met").select(*MERGED).distinct()
+
+
 def affiliation_detail(rows: DataFrame, merged: DataFrame) -> DataFrame:
     """First match of each affiliation of a record, defaults when there is none.
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from citeloom.constants import AFFILIATION_KEYWORDS, EXCLUDED_LAST_NAMES, NAME_KEYWORDS, TERRITORY_CODES
 from citeloom.functions.text import plain_word
 from citeloom.operators import affiliations as A, catalogue as C, dedupe as D, lookups as L, signals as S
 from citeloom.plans.jobs import build_catalogue, kept_records
-from citeloom.session import cut_lineage
+from citeloom.session import cut_lineage, shared_folder
 from citeloom.sources.readers import national_authors
 from suite import views as v
 from suite.record_queries import (
@@ -582,6 +584,18 @@ def _(spark, sf_dir):
     return merged_rows(spark, sf_dir).select(*plain, *list_texts())
 
 
+@query(
+    "merge_bucketed_affiliations",
+    f"WITH {MERGED} SELECT doi, doi_file_name, affiliation, creator_contributor, is_publisher_fr, is_clientId_fr, is_countries_fr, {LIST_TEXTS} FROM merged",
+)
+def _(spark, sf_dir):
+    """The detailed rows as a table made for the merge."""
+    plain = ["doi", "doi_file_name", "affiliation", "creator_contributor", "is_publisher_fr", "is_clientId_fr", "is_countries_fr"]
+    table = f"detailed_{uuid.uuid4().hex}"
+    A.bucket_detailed(detailed_rows(spark, sf_dir), table, shared_folder(spark), 16)
+    return A.merge_bucketed(matched_rows(spark, sf_dir), table).select(*plain, *list_texts())
+
+
 PROBES = (
     "SELECT DISTINCT doi_id AS doi, CASE WHEN o = 0 THEN affiliation ELSE affiliation || '?' END AS affiliation "
     f"FROM (SELECT *, length(name) % 4 AS o FROM ({v.customer_affiliations_sql()}) AS d) AS p WHERE affiliation <> ''"

@@ -394,6 +394,52 @@ def test_merge_matches_missing_keys(spark):
     assert rows["10.1/b"].ror == ["1"] and rows["10.1/b"].is_countries_fr and rows["10.1/a"].ror == []
 
 
+def bucket_fixture(spark, n=3000):
+    detailed = spark.range(0, n, numPartitions=8).selectExpr(
+        "CASE WHEN id % 50 <> 7 THEN '10.1/' || id END AS doi_id", "CASE WHEN id % 50 <> 7 THEN 'f' || id END AS doi_file_name",
+        "CASE WHEN id % 2 = 0 THEN 'creators' ELSE 'contributors' END AS type", "'n' AS name",
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE 'p' || (id % 10) END AS doi_publisher", "CASE WHEN id % 4 = 0 THEN '' END AS doi_client_id",
+        "CASE WHEN id % 3 = 0 THEN '' ELSE 'lab ' || (id % 100) END AS affiliation", "'o' AS origin_file",
+    )
+    results = spark.createDataFrame([("ror", "lab 1", ["1"]), ("country", "lab 1", ["fr"])], "match_type string, query string, results array<string>")
+    matched = A.match_affiliations(A.consolidate(detailed), results)
+    # keys that no detailed row has
+    other = matched.limit(20).withColumn("affiliation", F.concat(F.coalesce("affiliation", F.lit("")), F.lit(" else")))
+    return matched.union(other), detailed
+
+
+def test_bucketed_merge_is_the_same(spark, tmp_path):
+    matched, detailed = bucket_fixture(spark)
+    matched, detailed = cut_lineage(matched), cut_lineage(detailed)
+    A.bucket_detailed(detailed, "merge_same", str(tmp_path), 8)
+    assert spark.table("merge_same_hot").count() >= 1
+    got, want = A.merge_bucketed(matched, "merge_same"), A.merge_affiliations(matched, detailed)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 2900
+    A.bucket_detailed(detailed.limit(0), "merge_none", str(tmp_path / "none"), 8)
+    alone = A.merge_bucketed(matched, "merge_none")
+    assert sorted(map(str, alone.collect())) == sorted(map(str, A.merge_affiliations(matched, detailed.limit(0)).collect()))
+
+
+def test_bucketed_merge_reads_the_table_once_without_a_shuffle(spark, tmp_path, small_limits):
+    matched, detailed = bucket_fixture(spark, 60_000)
+    A.bucket_detailed(detailed, "merge_plan", str(tmp_path), 8)
+    merged = A.merge_bucketed(cut_lineage(matched), "merge_plan")
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("merge_plan[") == 1 and "SelectedBucketsCount: 8 out of 8" in plan
+    side = plan[plan.index("SortMergeJoin") :].split("\n")
+    at = next(i for i, line in enumerate(side) if "merge_plan[" in line)
+    # between the join and the scan of its right side there is no exchange
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    above, level = [], depth(side[at])
+    for line in reversed(side[:at]):
+        if depth(line) < level:
+            above, level = [*above, line], depth(line)
+    assert "SortMergeJoin" in above[-1] and not [line for line in above if "Exchange" in line]
+    # a third of the rows has one key, and no bucket has more than twice its share
+    sizes = spark.table("merge_plan").groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) >= 7 and max(r["count"] for r in sizes) < 2.5 * 60_000 / 8
+
+
 # ---------------------------------------------------------------- harvest
 
 
