@@ -265,3 +265,35 @@ ORG_SCHEMA_VERSION = "2.1"
 FIRST_AUTHOR_YEAR = 2013
 MIN_AUTHOR_WORKS = 5
 MIN_DOI_LENGTH = 5
+
+# Code points, as hexadecimal ranges, whose class the text normaliser takes from another
+# Unicode version than the rest: marks that it keeps, format characters that it keeps, and letters, digits and
+# marks that Java 17 does not know yet.
+LATE_MARKS = (
+    "7FD 898-89F 8CA-8E1 9FE AFA-AFF B55 C04 C3C D00 D3B-D3C D81 EBA ECE 180F 1885-1886 1ABF-1ACE "
+    "1DF6-1DFB A82C A8C5 A8FF A9BD 10D24-10D27 10EAB-10EAC 10EFD-10EFF 10F46-10F50 10F82-10F85 11070 "
+    "11073-11074 110C2 111C9 111CF 1123E 11241 1133B 11438-1143F 11442-11444 11446 1145E 1182F-11837 "
+    "11839-1183A 1193B-1193C 1193E 11943 119D4-119D7 119DA-119DB 119E0 11A01-11A0A 11A33-11A38 "
+    "11A3B-11A3E 11A47 11A51-11A56 11A59-11A5B 11A8A-11A96 11A98-11A99 11C30-11C36 11C38-11C3D 11C3F "
+    "11C92-11CA7 11CAA-11CB0 11CB2-11CB3 11CB5-11CB6 11D31-11D36 11D3A 11D3C-11D3D 11D3F-11D45 11D47 "
+    "11D90-11D91 11D95 11D97 11EF3-11EF4 11F00-11F01 11F36-11F3A 11F40 11F42 13440 13447-13455 16F4F "
+    "16FE4 1CF00-1CF2D 1CF30-1CF46 1E000-1E006 1E008-1E018 1E01B-1E021 1E023-1E024 1E026-1E02A 1E08F "
+    "1E130-1E136 1E2AE 1E2EC-1E2EF 1E4EC-1E4EF 1E944-1E94A"
+)
+LATE_FORMATS = (
+    "890-891 8E2 110CD 13430-1343F"
+)
+LATE_WORDS = (
+    "870-887 889-88E 897 8B5 8C8-8C9 C5D CDD CF3 170D 1715 171F 1B4C 1C89-1C8A 2C2F 2C5F A7C0-A7C1 "
+    "A7CB-A7CD A7D0-A7DC A7F2-A7F4 10570-1057A 1057C-1058A 1058C-10592 10594-10595 10597-105A1 "
+    "105A3-105B1 105B3-105B9 105BB-105BC 105C0-105F3 10780-10785 10787-107B0 107B2-107BA 10D40-10D65 "
+    "10D69-10D6D 10D6F-10D85 10EC2-10EC4 10EFC 10F70-10F81 11071-11072 11075 1123F-11240 11380-11389 "
+    "1138B 1138E 11390-113B5 113B7-113C0 113C2 113C5 113C7-113CA 113CC-113D3 113E1-113E2 116D0-116E3 "
+    "11740-11746 11AB0-11ABF 11BC0-11BE0 11BF0-11BF9 11F02-11F10 11F12-11F35 11F3E-11F3F 11F41 "
+    "11F50-11F5A 12F90-12FF0 1342F 13441-13446 13460-143FA 16100-16139 16A70-16ABE 16AC0-16AC9 "
+    "16D40-16D6C 16D70-16D79 18CFF 1AFF0-1AFF3 1AFF5-1AFFB 1AFFD-1AFFE 1B11F-1B122 1B132 1B155 "
+    "1CCF0-1CCF9 1DF00-1DF1E 1DF25-1DF2A 1E030-1E06D 1E290-1E2AD 1E4D0-1E4EB 1E4F0-1E4F9 1E5D0-1E5FA "
+    "1E7E0-1E7E6 1E7E8-1E7EB 1E7ED-1E7EE 1E7F0-1E7FE 2EBF0-2EE5D 31350-323AF"
+)
+# Capitals that Python 3.13 does not know yet, with the first of their small letters.
+LATE_CAPITALS = "1C89:1C8A A7CB:264 A7CC:A7CD A7CE:A7CF A7D2:A7D3 A7D4:A7D5 A7DA:A7DB A7DC:19B 10D50-10D65:10D70 16EA0-16EB8:16EBB"

@@ -14,12 +14,12 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F, types as T
 
-from citeloom.constants import ELIDED_ARTICLES
+from citeloom.constants import ELIDED_ARTICLES, LATE_CAPITALS, LATE_FORMATS, LATE_MARKS, LATE_WORDS
 
 PUNCTUATION = r"[!-/:-@\[-`{-~]"
 IDEOGRAPHS = (
     r"[\x{4E00}-\x{9FFF}\x{3400}-\x{4DBF}\x{F900}-\x{FAFF}\x{20000}-\x{2A6DF}\x{2A700}-\x{2B73F}"
-    r"\x{2B740}-\x{2B81F}\x{2B820}-\x{2CEAF}\x{2F800}-\x{2FA1F}]"
+    r"\x{2B740}-\x{2B81F}\x{2B920}-\x{2CEAF}\x{2F800}-\x{2FA1F}]"
 )
 
 
@@ -121,28 +121,84 @@ def ascii_fold(c: Column | str) -> Column:
     return F.lower(F.when(c.rlike(r"[^\x00-\x7F]"), folded).otherwise(c))
 
 
+def _in_ranges(ranges: str) -> frozenset[int]:
+    """The code points of ranges written as hexadecimal numbers, ``first-last`` or one alone."""
+    limits = [part.split("-") for part in ranges.split()]
+    return frozenset(p for first, *last in limits for p in range(int(first, 16), int((last or [first])[0], 16) + 1))
+
+
+def _class(ranges: str) -> str:
+    """The same ranges inside a character class."""
+    parts = [[f"\\x{{{limit}}}" for limit in part.split("-")] for part in ranges.split()]
+    return "".join("-".join(part) for part in parts)
+
+
+# Outside of these a character is rare: only texts with one pay for it. Java's tables are not asked there.
+RARE = r"[\x{0860}-\x{1DFF}\x{2C00}-\x{10FFFF}]"
+PRIVATE = r"[\x{E000}-\x{F8FF}\x{F0000}-\x{FFFFD}\x{100000}-\x{10FFFD}]+"
+
+
 @lru_cache(maxsize=None)
-def _bare_map(blank: str) -> tuple[str, str]:
-    """The accent map, with white space and some more characters going to a blank."""
-    source, target = _accent_map()
-    spaces = [chr(p) for p in range(0x10000) if chr(p) in "\t\n\r" or unicodedata.category(chr(p)) == "Zs"]
-    pairs = dict.fromkeys([*spaces, *blank], " ")
-    pairs.update((s, " " if t in blank else t) for s, t in zip(source, target) if s not in pairs)
-    return "".join(pairs), "".join(pairs.values())
+def _bare_map(blank: str) -> tuple[str, str, dict[str, str]]:
+    """What becomes of each character: pairs for ``translate`` (deleted ones last, without a partner), and
+    the few that become several.
+
+    Characters are decomposed, lose their marks and their capitals; white space and ``blank`` go to a
+    blank; controls, format characters and marks go. Only marks and letters of later Unicode versions than the rule's
+    are listed; the rest is Python's table.
+    """
+    late, format_kept = _in_ranges(LATE_MARKS), _in_ranges(LATE_FORMATS)
+    pairs, gone, several = {}, [], {}
+    for capitals, small in (pair.split(":") for pair in LATE_CAPITALS.split()):
+        for i, point in enumerate(sorted(_in_ranges(capitals))):
+            pairs[chr(point)] = chr(int(small, 16) + i)
+    for point in [*range(0xD800), *range(0xE000, sys.maxunicode + 1)]:
+        char, kind = chr(point), unicodedata.category(chr(point))
+        if char in "\t\n\r" or kind in ("Zs", "Zl", "Zp"):
+            pairs[char] = " "
+        elif point in (0xFFFD, 0x1734) or kind == "Cc" or (kind == "Cf" and point not in format_kept) or (kind == "Mn" and point not in late):
+            gone.append(char)
+        elif 0xAC00 <= point <= 0xD7A3 or point == 0x11938 or kind in ("Cn", "Co"):
+            continue  # syllables stay composed
+        else:
+            parts = unicodedata.normalize("NFD", char)
+            bare = "".join(p for p in parts if unicodedata.category(p) != "Mn" or ord(p) in late).lower()
+            if len(bare) > 1:
+                several[char] = bare
+            elif bare != char or char in blank:
+                pairs.setdefault(char, " " if bare in blank else bare)
+    return "".join([*pairs, *gone]), "".join(pairs.values()), several
 
 
 def _bare_text(c: Column, blank: str) -> Column:
-    """No accents, control characters gone, some characters blank, ideographs spaced, lower case.
+    """No accents, control characters gone, some characters blank, lower case: one translation.
+
+    Rare characters may also be spelled out, be private ones, which go, or ideographs, which stand alone.
+    """
+    source, target, several = _bare_map(blank)
+    known = string_map(several)
+    letters = F.transform(F.split(c, ""), lambda char: F.coalesce(known[char], char))
+    spelled = F.when(c.rlike("[" + "".join(several) + "]"), F.array_join(letters, "")).otherwise(c)
+    rare = F.regexp_replace(F.translate(spelled, source, target), PRIVATE, "")
+    rare = F.regexp_replace(rare, f"({IDEOGRAPHS})", " $1 ")
+    return F.when(c.rlike(RARE), rare).otherwise(F.translate(c, source, target))
+
+
+def _tokens(c: Column, blank: str) -> Column:
+    """Runs of word characters and runs of others of the bare text.
 
-    One translation, one removal and one spacing pass over the text.
+    Texts of printable ASCII characters need no table and no translation.
     """
-    c = F.translate(c, *_bare_map(blank))
-    c = F.regexp_replace(c, r"[\p{Mn}\p{Cc}\p{Cf}\p{Co}\p{Cn}\x{FFFD}]+", "")
-    return F.lower(F.regexp_replace(c, f"({IDEOGRAPHS})", " $1 "))
+    escaped, word = "".join(f"\\{char}" for char in blank), "a-z0-9" if "_" in blank else "a-z0-9_"
+    plain = F.regexp_extract_all(F.lower(c), F.lit(rf"[{word}]+|[^a-z0-9_\s{escaped}]+"), F.lit(0))
+    late = _class(LATE_MARKS) + _class(LATE_WORDS)
 
+    def split(word: str) -> Callable[[Column], Column]:
+        return lambda text: F.regexp_extract_all(text, F.lit(rf"(?U)[{word}]+|[^{word}\s]+"), F.lit(0))
 
-def _tokens(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(r"(?U)(\w+|[^\w\s]+)"), F.lit(1))
+    bare = _bare_text(c, blank)
+    wide = let(bare, lambda text: F.when(text.rlike(RARE), split(r"\w" + late)(text)).otherwise(split(r"\w")(text)))
+    return F.when(c.rlike(r"[^\t\n\r\x20-\x7E]"), wide).otherwise(plain)
 
 
 def normalize(c: Column | str, min_length: int = 0) -> Column:
@@ -150,7 +206,7 @@ def normalize(c: Column | str, min_length: int = 0) -> Column:
 
     With ``min_length`` shorter tokens go, unless they are a run of digits.
     """
-    tokens = _tokens(_bare_text(as_column(c), "<>$"))
+    tokens = let(as_column(c), lambda text: _tokens(text, "<>$"))
     if min_length:
         tokens = F.filter(
             tokens,
@@ -161,7 +217,7 @@ def normalize(c: Column | str, min_length: int = 0) -> Column:
 
 def normalize_key(c: Column | str, remove_space: bool = True, min_length: int = 0) -> Column:
     """Like :func:`normalize` without punctuation and, by default, without blanks; null gives ''."""
-    tokens = _tokens(_bare_text(as_column(c), string.punctuation))
+    tokens = let(as_column(c), lambda text: _tokens(text, string.punctuation))
     if min_length:
         tokens = F.filter(tokens, lambda t: F.char_length(t) > min_length)
     joined = F.array_join(tokens, "" if remove_space else " ")

@@ -62,8 +62,15 @@ def normalized_names(everyone: Column) -> Column:
 
 
 def keyword_hits(text: Column, keywords: list[str], prefix: str) -> Column:
-    """The keywords a text contains, each behind a prefix; the text is computed once."""
-    found = let(text, lambda t: F.filter(string_array(keywords), lambda k: F.contains(t, k)))
+    """The keywords a text contains, each behind a prefix; the text is computed once.
+
+    Keywords are looked for in bytes, which is the same in UTF-8 and takes two thirds of the time. One
+    pattern for all of them (alternatives, a trie, either behind classes of first letters) took longer.
+    """
+    found = let(
+        text.cast("binary"),
+        lambda t: F.filter(string_array(keywords), lambda k: F.contains(t, k.cast("binary"))),
+    )
     return F.transform(found, lambda k: F.concat(F.lit(prefix), k))
 
 

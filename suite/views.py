@@ -354,10 +354,11 @@ def tables(spark: SparkSession, sf_dir: str, sql: str) -> None:
     for name in TABLES:
         if re.search(rf"\b{name}\b", sql):
             table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-            # the small test files are one row group, so one task: deal them out for the texts' sake
+            # the small test files are one row group, which is one task's work however many splits it has: deal
+            # the rows out for the texts' sake where there are fewer splits than cores
             cores = spark.sparkContext.defaultParallelism
-            one = name in TEXT_TABLES and table.rdd.getNumPartitions() == 1
-            spread(table, cores if one else None).createOrReplaceTempView(name)
+            few = name in TEXT_TABLES and table.rdd.getNumPartitions() < cores
+            spread(table, cores if few else None).createOrReplaceTempView(name)
 
 
 def frame(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import re
 import string
 import unicodedata
+from functools import lru_cache
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -11,6 +12,7 @@ from citeloom.functions import text as X
 from citeloom.functions.urls import url_signature
 from tests.conftest import value
 
+BLANKED = str.maketrans(string.punctuation, " " * 32)
 HARD = [
     "École  Normale\tSupérieure\n", "CNRS—UMR 5558 (Lyon)", "a<b>$c", "ﬁn Œuvre ß ŁÓDŹ", "naïve café", "İstanbul Ⅷ ½",
     "中文字 mixed", "x​y z�", "éà", "O'Neil & l’été", "...", "", "_under score_", "Ω ω Ἀθῆναι", "привет МИР", "١٢٣ abc",
@@ -18,19 +20,20 @@ HARD = [
 ]
 
 
-def wordpiece_normalize(text: str) -> str:
-    """The same rule by an independent tokenizer library."""
+@lru_cache(maxsize=1)
+def wordpiece():
+    """An independent tokenizer library's cleaning and splitting of texts."""
     tokenizers = pytest.importorskip("tokenizers")
-    normalizer = tokenizers.normalizers.Sequence(
-        [
-            tokenizers.normalizers.BertNormalizer(
-                clean_text=True, handle_chinese_chars=True, strip_accents=True, lowercase=True
-            ),
-            tokenizers.normalizers.Strip(),
-        ]
-    )
+    clean = tokenizers.normalizers.BertNormalizer(clean_text=True, handle_chinese_chars=True, strip_accents=True, lowercase=True)
+    stripped = tokenizers.normalizers.Sequence([clean, tokenizers.normalizers.Strip()])
+    return stripped, tokenizers.pre_tokenizers.Whitespace()
+
+
+def wordpiece_normalize(text: str) -> str:
+    """The same rule by that library."""
+    normalizer, splitter = wordpiece()
     plain = re.sub(r"[\n<>$]", " ", normalizer.normalize_str(text))
-    return " ".join(t for t, _ in tokenizers.pre_tokenizers.Whitespace().pre_tokenize_str(plain))
+    return " ".join(t for t, _ in splitter.pre_tokenize_str(plain))
 
 
 def test_normalize_against_tokenizer(spark):
@@ -50,6 +53,44 @@ def test_signs_above_the_first_plane_against_tokenizer(spark):
     assert {r.t: r.n for r in rows} == {t: wordpiece_normalize(t) for t in texts}
 
 
+@pytest.fixture(scope="module")
+def every_sign(spark):
+    """``a{sign}b`` for every code point but the syllables that stay composed on purpose."""
+    points = spark.range(0x110000).where("id NOT BETWEEN 55296 AND 57343 AND id NOT BETWEEN 44032 AND 55203")
+    sign = F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32")
+    return points.select("id", F.concat(F.lit("a"), sign, F.lit("b")).alias("t"))
+
+
+def test_every_sign_against_tokenizer(every_sign):
+    rows = every_sign.select("id", X.normalize("t").alias("n")).toPandas()
+    assert len(rows) == 0x110000 - 2048 - 11172
+    different = [(hex(i), n) for i, n in zip(rows.id, rows.n) if n != wordpiece_normalize(f"a{chr(i)}b")]
+    assert different == []
+
+
+def wordpiece_key(text: str, joint: str) -> str:
+    """The rule for keys by the tokenizer library: punctuation to blanks, then words."""
+    normalizer, splitter = wordpiece()
+    plain = normalizer.normalize_str(text).replace("\n", " ").translate(BLANKED)
+    return joint.join(t for t, _ in splitter.pre_tokenize_str(plain))
+
+
+def test_every_assigned_sign_in_keys(every_sign):
+    rows = every_sign.select("id", X.normalize_key("t").alias("k"), X.normalize_key("t", remove_space=False).alias("s")).toPandas()
+    rows = rows[[unicodedata.category(chr(i)) not in ("Cn", "Co") for i in rows.id]]
+    want = [wordpiece_key(f"a{chr(i)}b", " ") for i in rows.id]
+    assert [(w, s) for w, s in zip(want, rows.s) if w != s] == []
+    assert [(w, k) for w, k in zip(want, rows.k) if w.replace(" ", "") != k] == []
+
+
+@pytest.mark.parametrize("text", [
+    "plain text_1 (a) <b>$", "É 😀 été—x \U00011100 ok", "ΟΔΟΣ ΣΑΣ", "e\u0301\u0301 \u08a0\u0898 x", "\ue000a\U000f0000b", "中é文\uf900x", "a\x00b\x85c\u2028d", "ொx கொ", "x" * 5000 + "é",
+])
+def test_mixed_texts_against_tokenizer(spark, text):
+    assert value(spark, X.normalize(F.lit(text))) == wordpiece_normalize(text)
+    assert value(spark, X.normalize_key(F.lit(text))) == wordpiece_key(text, "")
+
+
 def test_every_sign_folds_to_ascii(spark):
     points = [p for p in range(0x80, 0x110000) if not 0xD800 <= p <= 0xDFFF and unicodedata.category(chr(p)) not in ("Cn", "Co")]
     points = [p for p in points if unicodedata.normalize("NFKD", chr(p)) != chr(p)]
