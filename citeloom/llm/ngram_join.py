@@ -23,8 +23,9 @@ TREES = 64
 DEEPEST = 16
 # Part of the pairs of exactly the threshold's similarity that must become candidates.
 TARGET = 0.999
-# Documents verified together at most, on each side.
+# Documents verified together at most, on each side, and their shingles (a longer text is a side of its own).
 BLOCK = 512
+BLOCK_SHINGLES = 1_000_000
 # Shingles signed at once, and shingles multiplied at once.
 SIGNED = 100_000
 COLUMNS = 4096
@@ -69,23 +70,25 @@ def label_prefixes(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray
 
 
 def signed(docs: DataFrame, shingle: int, trees: int, depth: int) -> DataFrame:
-    """Per document: id, key (digest of its shingle set, null without words), prefixes (one per trie)."""
+    """Per row: id, digest, key (digest of its shingle set, null without words), size (of the set), prefixes (one per trie)."""
 
     def rows(batch: pa.RecordBatch, first: int, sets: list[np.ndarray]) -> pa.RecordBatch:
         full = [i for i, s in enumerate(sets) if len(s)]
-        keys: list[str | None] = [None] * len(sets)
+        keys: list[bytes | None] = [None] * len(sets)
         prefixes: list[list[int] | None] = [None] * len(sets)
         if full:
             for i, row in zip(full, label_prefixes([sets[i] for i in full], trees, depth).view(np.int64)):
-                keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).hexdigest()
+                keys[i] = hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest()
                 prefixes[i] = row
         return pa.RecordBatch.from_arrays(
             [
                 batch.column("id").slice(first, len(sets)),
-                pa.array(keys, pa.string()),
+                batch.column("digest").slice(first, len(sets)),
+                pa.array(keys, pa.binary()),
+                pa.array([len(s) for s in sets], pa.int64()),
                 pa.array(prefixes, pa.list_(pa.int64())),
             ],
-            names=["id", "key", "prefixes"],
+            names=["id", "digest", "key", "size", "prefixes"],
         )
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,17 +104,17 @@ def signed(docs: DataFrame, shingle: int, trees: int, depth: int) -> DataFrame:
                 yield rows(batch, first, sets)
 
     kind = docs.schema["id"].dataType.simpleString()
-    return in_arrow(docs, sign, f"id {kind}, key string, prefixes array<long>")
+    return in_arrow(docs, sign, f"id {kind}, digest binary, key binary, size long, prefixes array<long>")
 
 
 def candidates(entries: DataFrame) -> DataFrame:
-    """Links u, v of documents that share a prefix: each with the smallest of its trie node.
+    """Links u, v of texts that share a prefix: each with the smallest of its trie node.
 
-    ``entries`` has id and prefix (the trie is part of its hash). As many links as entries at most,
+    ``entries`` has key and prefix (the trie is part of its hash). As many links as entries at most,
     and connected as all pairs would be.
     """
-    nodes = entries.groupBy("prefix").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return entries.join(nodes, "prefix").where("id <> v").select(F.col("id").alias("u"), "v").distinct()
+    nodes = entries.groupBy("prefix").agg(F.min("key").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    return entries.join(nodes, "prefix").where("key <> v").select(F.col("key").alias("u"), "v").distinct()
 
 
 def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -152,16 +155,16 @@ def local_labels(similar: np.ndarray) -> np.ndarray:
 
 
 def verified(members: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Exact links among candidates: id, links (how many in this group), label (smallest one reached).
+    """Exact links among candidates: key, links (how many in this group), label (smallest one reached).
 
-    ``members`` has id, comp, i, j, block, text. A group is one block, or two blocks of a large
-    component of which only pairs across count; at most ``BLOCK`` or so documents a side.
+    ``members`` has key, comp, i, j, block, text, one row per key and group. A group is one block, or
+    two blocks of a large component of which only pairs across count.
     """
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, block = table.column("id").to_pylist(), table.column("block").to_numpy()
-        order = sorted(range(len(ids)), key=ids.__getitem__)
-        ids, block = [ids[i] for i in order], block[order]
+        keys, block = table.column("key").to_pylist(), table.column("block").to_numpy()
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        keys, block = [keys[i] for i in order], block[order]
         texts = table.column("text").to_pylist()
         similar = linked([shingle_set(texts[i], shingle) for i in order], threshold)
         if table.column("i")[0] != table.column("j")[0]:
@@ -169,14 +172,13 @@ def verified(members: DataFrame, shingle: int, threshold: float) -> DataFrame:
         links, labels = similar.sum(axis=1), local_labels(similar)
         some = np.flatnonzero(links)
         columns = [
-            pa.array([ids[i] for i in some], table.schema.field("id").type),
+            pa.array([keys[i] for i in some], pa.binary()),
             pa.array(links[some].astype(np.int64)),
-            pa.array([ids[labels[i]] for i in some], table.schema.field("id").type),
+            pa.array([keys[labels[i]] for i in some], pa.binary()),
         ]
-        return pa.Table.from_arrays(columns, names=["id", "links", "label"])
+        return pa.Table.from_arrays(columns, names=["key", "links", "label"])
 
-    kind = members.schema["id"].dataType.simpleString()
-    return members.groupBy("comp", "i", "j").applyInArrow(compare, f"id {kind}, links long, label {kind}")
+    return members.groupBy("comp", "i", "j").applyInArrow(compare, "key binary, links long, label binary")
 
 
 def near_copies(
@@ -195,42 +197,55 @@ def near_copies(
     are the connected components. ``n_links`` counts the linked texts, those with another shingle
     set, and ``n_copies`` the documents with this very set.
 
-    Documents with one shingle set are first made one. It has ``trees`` MinHash labels (bands) of
-    ``matched_depth`` values, a depth fixed by threshold and target; texts that share a label are candidates
-    and are held together by links to the smallest of a trie node, never by all pairs. Each
-    connected group of candidates is then verified exactly: in one task when it is small, else in
-    blocks of ``BLOCK``, each pair of blocks on its own, so no task holds more than two of them and
-    no pair leaves a task, only counts and one label per text.
+    Documents with one shingle set are first made one text, known by the digest of the set. It has
+    ``trees`` MinHash labels (bands) of ``matched_depth`` values, a depth fixed by threshold and target; texts
+    that share a label are candidates and are held together by links to the smallest of a trie node, never
+    by all pairs. Each connected group of candidates is then verified exactly: in one task when it is small,
+    else in blocks of ``BLOCK`` texts and ``BLOCK_SHINGLES`` shingles or so, each pair of blocks on its own, so
+    no task holds more than two of them and no pair leaves a task, only counts and one label per text.
 
     Texts without words (null and empty ones too) are in a class of their own, without links; very
     long texts count whole. A document without an id shares the class of equal texts, and has a
-    null class when none of them has an id. Rows that repeat an id are one document and fall in one
-    class. An empty table gives an empty result; other columns are not looked at.
+    null class, without links, when none of them has an id. Rows that repeat an id and a text are one
+    document wherever links are counted, and each gets its row; of an id with several texts each row has
+    the class and the links of its text. An empty table gives an empty result; other columns are not looked at.
     """
     depth = matched_depth(threshold, trees, DEEPEST, target)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    text = F.col(text_col)
+    digest = F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest")
+    rows = docs.select(F.col(id_col).alias("id"), digest, text.alias("text"))
     signs = cut_lineage(signed(rows, shingle, trees, depth))
-    sets = signs.where("key is not null").groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n_copies"))
-    sets = cut_lineage(sets)
-    firsts = sets.where("first is not null").select(F.col("key").alias("of_key"), "first")
+    # the smallest id of a set, with the text that stands for it
+    ranked = F.when(F.col("id").isNotNull(), F.struct("id", "digest"))
+    sets = signs.where("key is not null").groupBy("key").agg(
+        F.min(ranked).alias("stand"), F.count(F.lit(1)).alias("n_copies"), F.first("size").alias("size")
+    )
+    sets = cut_lineage(sets.select("key", F.col("stand.id").alias("first"), F.col("stand.digest").alias("digest"), "n_copies", "size"))
+    firsts = sets.where("first is not null").select(F.col("key").alias("of_key"), "first", F.col("digest").alias("of_digest"))
     entries = signs.where("key is not null").join(
-        firsts, (F.col("id") == F.col("first")) & (F.col("key") == F.col("of_key")), "left_semi"
+        firsts, (F.col("id") == F.col("first")) & (F.col("digest") == F.col("of_digest")) & (F.col("key") == F.col("of_key")), "left_semi"
     )
-    entries = entries.select("id", F.explode("prefixes").alias("prefix"))
-    comps = cut_lineage(components(candidates(entries)).select(F.col("node").alias("member"), F.col("label").alias("comp")))
-    sizes = comps.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    entries = entries.select("key", F.explode("prefixes").alias("prefix")).distinct()
+    comps = components(candidates(entries)).select(F.col("node").alias("member"), F.col("label").alias("comp"))
+    comps = cut_lineage(comps.join(sets, F.col("member") == F.col("key")).select("member", "comp", "first", "digest", "size"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    sizes = comps.groupBy("comp").agg(blocks.alias("blocks"))
     placed = comps.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("member"), "blocks").cast("int"))
-    placed = cut_lineage(placed)
-    texts = rows.join(placed, F.col("id") == F.col("member"))
+    placed = cut_lineage(placed.withColumnRenamed("digest", "of_digest"))
+    texts = rows.join(placed, (F.col("id") == F.col("first")) & (F.col("digest") == F.col("of_digest")))
+    # rows that repeat an id and a text become one; they are dealt out by these already
+    texts = texts.groupBy("id", "digest", F.col("member").alias("key"), "comp", "block", "blocks").agg(F.first("text").alias("text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = texts.select("id", "comp", "block", "text", other).select(
-        "id", "comp", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    members = texts.select("key", "comp", "block", "text", other).select(
+        "key", "comp", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     found = cut_lineage(verified(members, shingle, threshold))
-    classes = components(found.select(F.col("id").alias("u"), F.col("label").alias("v")))
-    classes = classes.select(F.col("node").alias("first"), F.col("label").alias("class_id"))
-    links = found.groupBy(F.col("id").alias("first")).agg(F.sum("links").alias("n_links"))
-    known = sets.join(classes, "first", "left").join(links, "first", "left")
+    classes = components(found.select(F.col("key").alias("u"), F.col("label").alias("v")))
+    classes = classes.select(F.col("node").alias("key"), F.col("label").alias("class"))
+    smallest = classes.join(sets, "key").groupBy("class").agg(F.min("first").alias("class_id"))
+    classes = classes.join(smallest, "class").select("key", "class_id")
+    links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
+    known = sets.join(classes, "key", "left").join(links, "key", "left")
     known = known.select("key", F.coalesce("class_id", "first").alias("class_id"), "n_links", "n_copies")
     joined = signs.select("id", "key").join(known, "key", "left")
     alone = F.col("key").isNull()

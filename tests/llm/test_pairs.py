@@ -89,6 +89,22 @@ def test_near_copies_against_brute_force(spark, monkeypatch, block):
     assert got == want
 
 
+@pytest.mark.parametrize("block,shingles_a_block", [(512, 1_000_000), (16, 1_000_000), (512, 900)])
+def test_repeated_rows_are_one_document_for_links(spark, monkeypatch, block, shingles_a_block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", shingles_a_block)
+    near, other, far = list(cloud(1, 20)), list(cloud(2, 20)), list(cloud(3, 3, edits=1))
+    rows = list(enumerate(near + other))
+    rows += [rows[0]] * 400 + [rows[1]] * 300 + [rows[25]] * 3  # repeated rows
+    rows += [(2, other[4]), (2, other[5]), (30, near[7]), (30, far[0]), (3, None), (3, "")]  # ids of several texts
+    rows += [(None, near[3]), (None, far[0]), (900, far[0] + " more"), (None, "nobody has this text at all here")]
+    random.Random(2).shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((tuple(r) for r in ngram_join.near_copies(docs).collect()), key=str)
+    want = [(i, None if c == 1 << 60 else c, n, m) for i, c, n, m in plain_near_copies(rows)]
+    assert got == sorted(want, key=str) and max(g[2] for g in got) < 40
+
+
 def test_near_copies_on_the_test_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in QUERIES["op1_ngram_join"](spark, sf_dir).collect()), key=str)
