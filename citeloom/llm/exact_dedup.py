@@ -68,13 +68,13 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Cases as in ``exact_groups``; an empty table comes back empty.
     """
-    keys = text_groups(docs, id_col, text_col).select(
-        F.col("text_sha256").alias("sha"), F.coalesce(F.col("keep_id").cast("string"), F.lit("")).alias("keep")
-    )
+    # a null id is no empty text
+    named = lambda c: F.concat(F.when(c.isNull(), "n").otherwise("v"), F.coalesce(c.cast("string"), F.lit("")))
+    keys = text_groups(docs, id_col, text_col).select(F.col("text_sha256").alias("sha"), named(F.col("keep_id")).alias("keep"))
     rows = docs.select(
         F.struct("*").alias("row"),
         F.sha2(normalized(F.col(text_col)).cast("binary"), 256).alias("sha"),
-        F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("keep"),
+        named(F.col(id_col)).alias("keep"),
     )
     kept = rows.join(keys, ["sha", "keep"], "left_semi")
     return kept.dropDuplicates(["sha", "keep"]).select("row.*")

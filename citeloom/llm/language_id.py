@@ -113,7 +113,9 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") ->
     known = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).dropna()
     counts = in_arrow(known, counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     most = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(most) - 1).where(F.col("rank") < PROFILE).drop("n")
+    # the bare row number, which Spark takes as a limit per language before the shuffle
+    first = counts.withColumn("rank", F.row_number().over(most)).where(F.col("rank") <= PROFILE)
+    return first.withColumn("rank", F.col("rank") - 1).drop("n")
 
 
 def out_of_place(grams: np.ndarray, known: np.ndarray, ranks: np.ndarray) -> np.ndarray:

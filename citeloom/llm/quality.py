@@ -5,11 +5,13 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from citeloom.llm.common import in_arrow, learnable, small
 
@@ -30,8 +32,9 @@ FEATURES = (
     "title_words",
 )
 BUCKETS = 8
-# Bounds of the sample a model is fitted on, and of the fit.
+# Bounds of the sample a model is fitted on: labelled documents, and the lines of them all.
 MAX_DOCS = 8000
+MAX_LINES = 400_000
 # Characters that are measured at once.
 CHUNK = 250_000
 STEPS = 120
@@ -41,9 +44,13 @@ LEAST_SCORE = 0.3
 _UPPER, _LOWER, _DIGIT, _SPACE, _MARK, _SYMBOL = range(6)
 
 
+# Marks of other scripts; full-width ones are known by their plain form.
+_MARKS, _STOPS = ".,;:!?\u3001\u3002\u061f\u060c\u061b\u0964", ".!?\u3002\u061f\u0964"
+
+
 def _kind(code: int) -> int:
     char = chr(code)
-    if char in ".,;:!?":
+    if unicodedata.normalize("NFKC", char) in _MARKS and not char.isspace():
         return _MARK
     if char.isspace():
         return _SPACE
@@ -55,8 +62,12 @@ def _kind(code: int) -> int:
     return _DIGIT if category[0] == "N" else _SYMBOL
 
 
-_ENDS = np.array([ord(c) for c in ".!?"], dtype=np.uint32)
-_KINDS = np.array([_kind(code) for code in range(0x3000)], dtype=np.uint8)
+@lru_cache(maxsize=1)
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of every code point, and the marks that end a sentence."""
+    kinds = np.array([_kind(code) for code in range(0x110000)], dtype=np.uint8)
+    ends = [code for code in np.flatnonzero(kinds == _MARK).tolist() if unicodedata.normalize("NFKC", chr(code)) in _STOPS]
+    return kinds, np.array(ends, dtype=np.uint32)
 
 
 def lines_of(text: str | None) -> list[str]:
@@ -87,7 +98,8 @@ def _measured(texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarra
     by_text = [lines_of(text) for text in texts]
     lines = [line for group in by_text for line in group]
     codes = np.frombuffer("".join(line + "\n" for line in lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    kinds = np.where(codes < len(_KINDS), _KINDS[np.minimum(codes, len(_KINDS) - 1)], _LOWER)
+    of_code, stops = _tables()
+    kinds = of_code[codes]
     starts = np.cumsum([0] + [len(line) + 1 for line in lines[:-1]])
     count = np.stack([np.add.reduceat((kinds == k).astype(np.int64), starts) for k in range(6)], axis=1)
     letters = count[:, _UPPER] + count[:, _LOWER]
@@ -128,7 +140,7 @@ def _measured(texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarra
         out[:, 7] = solid / most / 24
         out[:, 8] = np.log1p(per_line) / 10
         out[:, 9] = part(sizes <= 3)
-        out[:, 10] = part(last & np.isin(codes[ends], _ENDS)) * most
+        out[:, 10] = part(last & np.isin(codes[ends], stops)) * most
         out[:, 11] = part((sizes == 1) & (kinds[begins] >= _MARK))
         out[:, 13] = part(kinds[begins] == _UPPER)
     at = 0
@@ -246,21 +258,37 @@ def fit(features: list[np.ndarray], good: list[int], steps: int = STEPS, ridge:
     return LineModel(edges, flat[:size], flat[size:].reshape(2, 2))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, limit: int = MAX_DOCS) -> LineModel:
-    """A model of ``labels.quality``, fitted on at most ``limit`` labelled documents not held out."""
+def fit_quality(docs: DataFrame, labels: DataFrame, limit: int = MAX_DOCS, lines: int = MAX_LINES) -> LineModel:
+    """A model of ``labels.quality``, fitted on at most ``limit`` labelled documents not held out.
+
+    Documents are taken whole, in the order of a hash of their id, as long as they have ``lines`` lines
+    together at most: both bounds hold for what reaches the driver. Labels that repeat an id count as
+    often as they stand there, as do documents that repeat one.
+    """
     rows = docs.select("doc_id", "text").join(
         F.broadcast(learnable(labels, limit, "quality")), F.col("doc_id") == F.col("labelled")  # at most ``limit`` rows
     )
+    # one row for each labelled document: a window of at most ``limit`` rows, a few numbers each
+    size = F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1
+    sizes = rows.groupBy("doc_id").agg(F.sum(size).alias("size"))
+    so_far = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    taken = sizes.withColumn("so_far", F.sum("size").over(so_far)).where(F.col("so_far") <= lines).select(F.col("doc_id").alias("taken"))
+    rows = rows.join(F.broadcast(taken), F.col("doc_id") == F.col("taken"))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            found = [x.ravel().tolist() for x in line_features(batch.column("text").to_pylist())[0]]
+            found = line_features(batch.column("text").to_pylist())[0]
+            places = pa.array(np.cumsum([0] + [x.size for x in found]).astype(np.int32))
+            flat = pa.array(np.concatenate([x.ravel() for x in found]) if found else np.zeros(0, dtype=np.float32))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("label"), pa.array(found, pa.list_(pa.float32()))], names=["label", "features"]
+                [batch.column("label"), pa.ListArray.from_arrays(places, flat)], names=["label", "features"]
             )
 
     made = in_arrow(rows.select("label", "text"), measured, "label int, features array<float>").toArrow()
-    features = [np.array(x, dtype=np.float32).reshape(-1, len(FEATURES)) for x in made.column("features").to_pylist()]
+    features: list[np.ndarray] = []
+    for chunk in made.column("features").chunks:
+        values, places = chunk.values.to_numpy(), chunk.offsets.to_numpy()
+        features += [values[a:b].reshape(-1, len(FEATURES)) for a, b in zip(places[:-1], places[1:])]
     return fit(features, made.column("label").to_pylist())
 
 

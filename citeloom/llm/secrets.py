@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +33,50 @@ MILLIONTHS = 1_000_000
 TERMS = [0, *[round(c * math.log2(c) * MILLIONTHS) for c in range(1, WINDOW + 1)]]
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value evaluated once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def placed(lengths: Column) -> Column:
+    """Elements (gap, size, part), one or more, as (start, end, part) by running sums of gaps and sizes.
+
+    An array grows by copying, so no array grows by more than a block of about the root of their number: blocks
+    are summed first, then each block is numbered from what the blocks before it hold.
+    """
+    none = F.array().cast("array<struct<start:int,end:int,part:string>>")
+
+    def numbered(block: Column, offset: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            start = acc["at"] + x["gap"]
+            end = start + x["size"]
+            one = F.struct(start.alias("start"), end.alias("end"), x["part"].alias("part"))
+            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        begin = F.struct(offset.alias("at"), none.alias("out"))
+        return F.aggregate(block, begin, step, lambda acc: acc["out"])
+
+    def joined(blocks: Column) -> Column:
+        sums = F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda n, x: n + x["gap"] + x["size"]))
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        offsets = F.aggregate(
+            sums,
+            begin,
+            lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")),
+            lambda acc: acc["out"],
+        )
+        return F.flatten(F.zip_with(blocks, offsets, numbered))
+
+    def dealt(listed: Column, size: Column) -> Column:
+        first = F.sequence(F.lit(1), F.size(listed), size)
+        return F.transform(first, lambda i: F.slice(listed, i, size))
+
+    return once(
+        lengths,
+        lambda listed: once(F.ceil(F.sqrt(F.size(listed))).cast("int"), lambda size: once(dealt(listed, size), joined)),
+    )
+
+
 def places(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches: array of (start, end, part), in code points, end exclusive.
 
@@ -48,26 +93,7 @@ def places(text: Column, pattern: str, group: int = 0) -> Column:
     # the last gap has no match
     lengths = F.filter(lengths, lambda x: x["size"].isNotNull())
     none = F.array().cast("array<struct<start:int,end:int,part:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    run = F.aggregate(
-        lengths,
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["size"]).alias("at"),
-            F.concat(
-                acc["out"],
-                F.array(
-                    F.struct(
-                        (acc["at"] + x["gap"]).alias("start"),
-                        (acc["at"] + x["gap"] + x["size"]).alias("end"),
-                        x["part"].alias("part"),
-                    )
-                ),
-            ).alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(text.rlike(pattern), run).otherwise(none)
+    return F.when(text.rlike(pattern), placed(lengths)).otherwise(none)
 
 
 def entropy_spans(text: Column, least: Column) -> Column:

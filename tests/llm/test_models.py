@@ -176,6 +176,32 @@ def test_features_of_many_texts_are_those_of_each(monkeypatch):
     assert np.isclose(named["unique_words"], 0.4) and np.isclose(named["repeats"], 0.6)
 
 
+@pytest.mark.parametrize(
+    "line,upper,letters,digits,symbols,ends",
+    [
+        ("\U0001f600\U0001f600 \U0001f601", 0, 0, 0, 1, 0), ("\uff11\uff12 \uff13", 0, 0, 1, 0, 0), ("a\uff0c b\u3002", 0, 0.5, 0, 0, 1), ("\u4e2d\u6587\u3002", 0, 2 / 3, 0, 0, 1),
+        ("\U0001d7d8\U0001d7d9", 0, 0, 1, 0, 0), ("\U00010400\U00010428", 0.5, 1, 0, 0, 0), ("\uff21\uff42\uff01", 0.5, 2 / 3, 0, 0, 1), ("\U000e0001\ue000", 0, 0, 0, 1, 0),
+        ("\U00020000 \U00030000", 0, 1, 0, 0, 0), ("Ab 1.", 0.5, 0.5, 0.25, 0, 1),
+    ],
+)
+def test_kinds_over_all_planes(line, upper, letters, digits, symbols, ends):
+    named = dict(zip(quality.FEATURES, quality.line_features([line])[0][0][0]))
+    got = [named[f] for f in ("upper", "letters", "digits", "symbols", "ends_in_mark")]
+    assert got == pytest.approx([upper, letters, digits, symbols, ends])
+
+
+def test_quality_sample_is_bounded_in_lines(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "a line\n" * (i % 7 + 1)) for i in range(300)] + [(1000, "x\n" * 5000)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "int(doc_id % 2) AS quality")
+    held = []
+    monkeypatch.setattr(quality, "fit", lambda features, good: held.append((len(good), sum(len(x) for x in features))))
+    quality.fit_quality(docs, labels, lines=200)
+    quality.fit_quality(docs, labels)
+    quality.fit_quality(docs, labels, limit=10)
+    assert 20 < held[0][0] < 100 and 150 < held[0][1] <= 200
+    assert held[1][0] > 200 and held[2][0] == 10
+
+
 def test_quality_held_out(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{LARGER}/labels.parquet").collect()}
     rows = QUERIES["op9_quality"](spark, LARGER).collect()

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -252,6 +253,21 @@ def test_secrets_against_plain(spark, odd_docs, no_docs):
     assert secrets.find_secrets(odd_docs).count() == odd_docs.count() and secrets.find_secrets(no_docs).count() == 0
 
 
+def test_many_secrets_in_one_text(spark):
+    rows = [(1, " ".join(f"{i:016x}" for i in range(100_000))), (2, "token: abcdefghijkl; " * 30_000), (3, "0123456789abcdef" + "!" * 7)]
+    begin = time.time()
+    found = {r.doc_id: tuple(r)[1:] for r in secrets.secret_digests(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert time.time() - begin < 90
+    assert found == {i: plain_secrets(t) for i, t in rows} and found[1][2] == 100_000 and found[2][0] == 30_000
+
+
+def test_null_id_beside_an_empty_one(spark):
+    rows = [("", "same"), (None, "same"), (None, "other"), ("", "third"), (None, "other")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    kept = sorted(((r.doc_id, r.text) for r in exact_dedup.drop_copies(docs).collect()), key=str)
+    assert kept == sorted([("", "same"), (None, "other"), ("", "third")], key=str)
+
+
 def test_native_plans_have_no_python(odd_docs, spark):
     plans = [
         plan_of(exact_dedup.exact_groups(odd_docs)), plan_of(exact_dedup.drop_copies(odd_docs)), plan_of(licenses.scan_licenses(odd_docs)),
