@@ -110,11 +110,11 @@ def signed(docs: DataFrame, shingle: int, trees: int, depth: int) -> DataFrame:
 def candidates(entries: DataFrame) -> DataFrame:
     """Links u, v of texts that share a prefix: each with the smallest of its trie node.
 
-    ``entries`` has key and prefix (the trie is part of its hash). As many links as entries at most,
-    and connected as all pairs would be.
+    ``entries`` has number and prefix (the trie is part of its hash), also more than once. As many links as
+    entries at most, and connected as all pairs would be.
     """
-    nodes = entries.groupBy("prefix").agg(F.min("key").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    return entries.join(nodes, "prefix").where("key <> v").select(F.col("key").alias("u"), "v").distinct()
+    nodes = entries.groupBy("prefix").agg(F.min("number").alias("v"), F.max("number").alias("last")).where("v < last").drop("last")
+    return entries.join(nodes, "prefix").where("number <> v").select(F.col("number").alias("u"), "v").distinct()
 
 
 def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
@@ -155,30 +155,26 @@ def local_labels(similar: np.ndarray) -> np.ndarray:
 
 
 def verified(members: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Exact links among candidates: key, links (how many in this group), label (smallest one reached).
+    """Exact links among candidates: number, links (how many in this group), label (smallest one reached).
 
-    ``members`` has key, comp, i, j, block, text, one row per key and group. A group is one block, or
+    ``members`` has number, comp, i, j, block, text, one row per number and group. A group is one block, or
     two blocks of a large component of which only pairs across count.
     """
 
     def compare(table: pa.Table) -> pa.Table:
-        keys, block = table.column("key").to_pylist(), table.column("block").to_numpy()
-        order = sorted(range(len(keys)), key=keys.__getitem__)
-        keys, block = [keys[i] for i in order], block[order]
+        numbers, block = table.column("number").to_numpy(), table.column("block").to_numpy()
+        order = np.argsort(numbers)
+        numbers, block = numbers[order], block[order]
         texts = table.column("text").to_pylist()
         similar = linked([shingle_set(texts[i], shingle) for i in order], threshold)
         if table.column("i")[0] != table.column("j")[0]:
             similar &= block[:, None] != block[None, :]
         links, labels = similar.sum(axis=1), local_labels(similar)
         some = np.flatnonzero(links)
-        columns = [
-            pa.array([keys[i] for i in some], pa.binary()),
-            pa.array(links[some].astype(np.int64)),
-            pa.array([keys[labels[i]] for i in some], pa.binary()),
-        ]
-        return pa.Table.from_arrays(columns, names=["key", "links", "label"])
+        columns = [pa.array(numbers[some]), pa.array(links[some].astype(np.int64)), pa.array(numbers[labels[some]])]
+        return pa.Table.from_arrays(columns, names=["number", "links", "label"])
 
-    return members.groupBy("comp", "i", "j").applyInArrow(compare, "key binary, links long, label binary")
+    return members.groupBy("comp", "i", "j").applyInArrow(compare, "number long, links long, label long")
 
 
 def near_copies(
@@ -220,32 +216,31 @@ def near_copies(
     sets = signs.where("key is not null").groupBy("key").agg(
         F.min(ranked).alias("stand"), F.count(F.lit(1)).alias("n_copies"), F.first("size").alias("size")
     )
-    sets = cut_lineage(sets.select("key", F.col("stand.id").alias("first"), F.col("stand.digest").alias("digest"), "n_copies", "size"))
-    firsts = sets.where("first is not null").select(F.col("key").alias("of_key"), "first", F.col("digest").alias("of_digest"))
-    entries = signs.where("key is not null").join(
-        firsts, (F.col("id") == F.col("first")) & (F.col("digest") == F.col("of_digest")) & (F.col("key") == F.col("of_key")), "left_semi"
-    )
-    entries = entries.select("key", F.explode("prefixes").alias("prefix")).distinct()
+    # numbered, and written with the numbers
+    sets = sets.select("key", F.col("stand.id").alias("first"), F.col("stand.digest").alias("digest"), "n_copies", "size")
+    sets = cut_lineage(sets.withColumn("number", F.monotonically_increasing_id()))
+    stands = sets.where("first is not null").select("number", "first", F.col("digest").alias("of_digest"), F.col("size").alias("of_size"))
+    at_stand = (F.col("id") == F.col("first")) & (F.col("digest") == F.col("of_digest"))
+    entries = signs.where("key is not null").join(stands, at_stand).select("number", F.explode("prefixes").alias("prefix"))
     comps = components(candidates(entries)).select(F.col("node").alias("member"), F.col("label").alias("comp"))
-    comps = cut_lineage(comps.join(sets, F.col("member") == F.col("key")).select("member", "comp", "first", "digest", "size"))
-    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("size") / BLOCK_SHINGLES)).cast("int")
+    comps = cut_lineage(comps.join(stands, F.col("member") == F.col("number")).drop("member"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("of_size") / BLOCK_SHINGLES)).cast("int")
     sizes = comps.groupBy("comp").agg(blocks.alias("blocks"))
-    placed = comps.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("member"), "blocks").cast("int"))
-    placed = cut_lineage(placed.withColumnRenamed("digest", "of_digest"))
-    texts = rows.join(placed, (F.col("id") == F.col("first")) & (F.col("digest") == F.col("of_digest")))
+    placed = comps.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("number"), "blocks").cast("int"))
+    placed = cut_lineage(placed)
     # rows that repeat an id and a text become one; they are dealt out by these already
-    texts = texts.groupBy("id", "digest", F.col("member").alias("key"), "comp", "block", "blocks").agg(F.first("text").alias("text"))
+    texts = rows.join(placed, at_stand).groupBy("id", "digest", "number", "comp", "block", "blocks").agg(F.first("text").alias("text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    members = texts.select("key", "comp", "block", "text", other).select(
-        "key", "comp", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    members = texts.select("number", "comp", "block", "text", other).select(
+        "number", "comp", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
     found = cut_lineage(verified(members, shingle, threshold))
-    classes = components(found.select(F.col("key").alias("u"), F.col("label").alias("v")))
-    classes = classes.select(F.col("node").alias("key"), F.col("label").alias("class"))
-    smallest = classes.join(sets, "key").groupBy("class").agg(F.min("first").alias("class_id"))
-    classes = classes.join(smallest, "class").select("key", "class_id")
-    links = found.groupBy("key").agg(F.sum("links").alias("n_links"))
-    known = sets.join(classes, "key", "left").join(links, "key", "left")
+    classes = components(found.select(F.col("number").alias("u"), F.col("label").alias("v")))
+    classes = classes.select(F.col("node").alias("number"), F.col("label").alias("class"))
+    smallest = classes.join(sets, "number").groupBy("class").agg(F.min("first").alias("class_id"))
+    classes = classes.join(smallest, "class").select("number", "class_id")
+    links = found.groupBy("number").agg(F.sum("links").alias("n_links"))
+    known = sets.join(classes, "number", "left").join(links, "number", "left")
     known = known.select("key", F.coalesce("class_id", "first").alias("class_id"), "n_links", "n_copies")
     joined = signs.select("id", "key").join(known, "key", "left")
     alone = F.col("key").isNull()
