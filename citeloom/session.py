@@ -56,14 +56,15 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, rows_a_file: int = 0) -> DataFrame:
     """The frame written as a Parquet table in the shared folder, and read back.
 
     Lost executors then cost no recomputation, readers take only the columns they need,
-    and the planner knows the true size when it picks a join.
+    and the planner knows the true size when it picks a join. ``rows_a_file`` makes one task write several
+    files, which many tasks can read.
     """
     folder = shared_folder(df.sparkSession)
-    df.write.parquet(folder)
+    df.write.option("maxRecordsPerFile", rows_a_file).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -15,9 +15,11 @@ from citeloom.constants import (
 )
 from citeloom.functions.records import RECORD_SCHEMA, flatten_record, parse_records
 from citeloom.functions.text import clean_doi
-from citeloom.session import spread
+from citeloom.session import cut_lineage, spread
 
 DUMP_PATTERN = "updated*/*.jsonl.gz"
+# Lines of a block when a large file that does not split is written again.
+BLOCK_LINES = 20_000
 AFFILIATION_COLUMNS = [
     "doi_id", "doi_file_name", "type", "name", "doi_publisher", "doi_client_id", "affiliation", "origin_file",
 ]
@@ -90,11 +92,14 @@ def read_dump(
 
     ``rec_id`` names a line. It is stable only for one reading of the files: write or
     checkpoint the parsed table before using it on both sides of a join. A gzip file is one
-    task; ``partitions`` deals the lines of a few large ones out before they are parsed.
+    task, so where there are fewer files than cores the lines are first written as blocks, once, with their
+    numbers, which all cores then parse. ``partitions`` deals lines out by a shuffle instead.
     """
     lines = text_lines(spark, f"{root}/{pattern}").withColumn(
         "rec_id", F.concat_ws("#", "file_path", "file_block", "line_no")
     )
+    if partitions is None and lines.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        lines = cut_lineage(lines, BLOCK_LINES)
     return parse_records(spread(lines, partitions), keep=("rec_id", "file_path", "file_block", "line_no"))
 
 

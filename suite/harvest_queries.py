@@ -445,7 +445,7 @@ def write_arrays(rows: DataFrame, folder: str) -> None:
     columns = [c for c in rows.columns if c != "number"]
     files = rows.groupBy(F.expr(f"number div {ROWS_A_FILE}").alias("file"))
     arrays = files.agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
-    arrays.write.partitionBy("file").text(folder)
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(folder)
 
 
 @query("read_org_files", f"WITH {ORGS} SELECT ror FROM orgs")
