@@ -399,12 +399,12 @@ def _(spark, sf_dir):
     return readers.union_tables(*parts).groupBy("name").agg(F.count("*").alias("n"))
 
 
-@query("read_authors", f"WITH {AUTHORS} SELECT author_key, CAST(count(*) AS BIGINT) AS n_years FROM authors GROUP BY 1")
+@query("read_authors", f"WITH {AUTHORS} SELECT author_key, year, array_to_string(rors, '|') AS rors FROM authors")
 def _(spark, sf_dir):
     folder = shared_folder(spark)
     author_rows(spark, sf_dir).write.json(folder)
     found = L.author_lookup(readers.read_authors(spark, folder))
-    return found.groupBy("author_key").agg(F.count("*").alias("n_years"))
+    return found.select("author_key", "year", F.array_join("rors", "|").alias("rors"))
 
 
 @query("read_envelope_files", with_js() + "SELECT j->>'$.id' AS id, j->>'$.attributes.url' AS url FROM js")

@@ -266,6 +266,21 @@ def test_file_batches(spark):
     assert got == expected
 
 
+def test_one_large_dump_file_is_parsed_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "BLOCK_LINES", 50)
+    write_dump(tmp_path, {"dump/updated_1/all.jsonl.gz": [doi(f"10.1/{i}", "T") for i in range(1000)]})
+    before = spark.conf.get("spark.sql.files.openCostInBytes"), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    rows = readers.read_dump(spark, str(tmp_path / "dump"))
+    assert rows.rdd.getNumPartitions() >= 8
+    got = rows.select("id", "rec_id", "line_no").orderBy("line_no").collect()
+    assert [r.id for r in got] == [f"10.1/{i}" for i in range(1000)] and len({r.rec_id for r in got}) == 1000
+    assert got == rows.select("id", "rec_id", "line_no").orderBy("line_no").collect()
+    for name, value in zip(("openCostInBytes", "maxPartitionBytes"), before):
+        spark.conf.set(f"spark.sql.files.{name}", value)
+
+
 def test_cut_lineage_and_spread(spark):
     df = spark.range(10, numPartitions=2).withColumn("v", F.parse_json(F.lit('{"a":1}')))
     cut = cut_lineage(df)
