@@ -11,7 +11,7 @@ from citeloom.functions.text import plain_word
 from citeloom.operators import affiliations as A, catalogue as C, dedupe as D, lookups as L, signals as S
 from citeloom.plans.jobs import build_catalogue, kept_records
 from citeloom.session import cut_lineage, shared_folder
-from citeloom.sources.readers import national_authors
+from citeloom.sources.readers import excluded_last_names, national_authors
 from suite import views as v
 from suite.record_queries import (
     FORMAT_LIST, GENRES, PERSONS, RECORDS, attribute, descriptions, dois, items, joined, typed_records, with_js,
@@ -127,7 +127,11 @@ def _(spark, sf_dir):
 
 KEYWORDS = "[" + ", ".join(f"'{k}'" for k in AFFILIATION_KEYWORDS) + "]"
 NAMES = "[" + ", ".join(f"'{k}'" for k in NAME_KEYWORDS) + "]"
-EXCLUDED = "[" + ", ".join(f"'{w}'" for w in (plain_word(n).replace("'", "''") for n in EXCLUDED_LAST_NAMES)) + "]"
+def name_list(names: list[str]) -> str:
+    return "[" + ", ".join(f"'{w}'" for w in (plain_word(n).replace("'", "''") for n in names)) + "]"
+
+
+EXCLUDED = name_list(EXCLUDED_LAST_NAMES)
 
 # one element of an affiliation list as searchable text
 AFFILIATION_SEARCH = (
@@ -246,6 +250,24 @@ def _(spark, sf_dir):
     return hits.select("rec_id", "key", "pos", F.array_join("rors", "|").alias("rors"))
 
 
+# an own list of names that identify nobody: every second one of the built-in list
+OWN_NAMES = EXCLUDED_LAST_NAMES[::2]
+
+
+@query(
+    "author_name_signal_own_list",
+    signal_sql("SELECT doc_id AS rec_id, form AS key, CAST(n AS INTEGER) AS pos, array_to_string(rors, '|') AS rors FROM name_hits").replace(
+        EXCLUDED, name_list(OWN_NAMES)
+    ),
+)
+def _(spark, sf_dir):
+    folder = shared_folder(spark)
+    spark.createDataFrame([(n,) for n in OWN_NAMES], "key string").write.csv(folder, header=True)
+    names = excluded_last_names(spark, folder)
+    hits = S.author_name_signal(typed_records(spark, sf_dir), authors(spark, sf_dir), last_names=names)
+    return hits.select("rec_id", "key", "pos", F.array_join("rors", "|").alias("rors"))
+
+
 @query(
     "ror_signal",
     signal_sql("SELECT doc_id AS rec_id, named_rors.ror, orgs.ror IS NOT NULL AS is_national FROM named_rors LEFT JOIN orgs USING (ror)"),
