@@ -32,6 +32,9 @@ NOTICES = {
 }
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# The same words before letters are lower-cased.
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+KELVIN = "\u212a"
 K = 2
 # Diagonals this close belong to one span: a word more or less in between.
 NEAR = 2
@@ -40,7 +43,13 @@ LEAST = 0.75
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    """The words of a text, so lower-cased that they equal a word of ASCII letters when they do with A-Z alone.
+
+    Other capitals stay outside of ASCII when they are lower-cased, but for the Kelvin sign.
+    """
+    text = F.coalesce(text, F.lit(""))
+    low = F.when(F.contains(text, F.lit(KELVIN)), ascii_lower(text)).otherwise(F.lower(text))
+    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
 def templates(notices: dict[str, list[str]] = NOTICES) -> list[tuple[str, str, bool]]:
@@ -73,12 +82,15 @@ def license_spans(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, text
     when it holds all grams of a base phrase, or ``LEAST`` of the grams of a notice. Base phrases
     must lie on one diagonal. ``key`` is the text's digest: copies share their spans.
     """
-    grams = template_grams(docs.sparkSession, templates(notices))
+    listed = templates(notices)
+    grams = template_grams(docs.sparkSession, listed)
+    # most pairs begin with a word that begins no pair of a template
+    begins = sorted({word for phrase, _, _ in listed for word in phrase.split()[: 1 - K]})
     rows = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), words_of(F.col(text_col)).alias("w"))
     pairs = rows.where(F.size("w") >= K).select(
         "key", F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", K, F.size("w")).alias("b")))
     )
-    pairs = pairs.select("key", F.col("pos"), F.col("col.a").alias("w1"), F.col("col.b").alias("w2"))
+    pairs = pairs.select("key", F.col("pos"), F.col("col.a").alias("w1"), F.col("col.b").alias("w2")).where(F.col("w1").isin(begins))
     hits = pairs.withColumn("gram", F.xxhash64("w1", "w2")).join(grams, "gram").where("w1 = t1 and w2 = t2")
     # a hit of two copies of a text is one hit
     diagonals = (
@@ -138,7 +150,7 @@ def scan_licenses(
     rows = docs.select(
         F.col(id_col).alias("doc_id"),
         F.md5(text.cast("binary")).alias("key"),
-        F.regexp_count(ascii_lower(text), F.lit(WORD)).cast("long").alias("n_words"),
+        F.regexp_count(text, F.lit(ANY_CASE)).cast("long").alias("n_words"),
     )
     return rows.join(by_text, "key", "left").select(
         "doc_id",

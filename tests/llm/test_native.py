@@ -65,6 +65,7 @@ TEXTS = [
     "all rights reserved",
     "ALL rights",
     "ÀÉ mit license été",
+    "İMIT License MIT İ CC BY \u212aCC BY ÅÉ this wor\u212a is licensed under the gnu",
     "x" * 100_000 + " apache license",
     None,
     "",
@@ -87,7 +88,8 @@ def test_license_notices(spark):
     found = {r.doc_id: (r.labels, r.score) for r in licenses.scan_licenses(docs).collect()}
     assert found[3] == ("apache", 1.0)  # a word more inside the notice: neighbouring diagonals
     assert found[4][0] == "mit" and 0.75 <= found[4][1] < 1
-    assert found[5] == ("reserved", 1.0) and found[6] == ("", 0.0) and found[9] == ("", 0.0)
+    assert found[5] == ("reserved", 1.0) and found[6] == ("", 0.0) and found[10] == ("", 0.0)
+    assert 0 < found[8][1] <= 1 and found[8][0] == "cc-by"
 
 
 # ---------------------------------------------------------------- URL filter
