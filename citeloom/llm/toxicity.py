@@ -217,8 +217,11 @@ def fit_severity(docs: DataFrame, labels: DataFrame, limit: int = MAX_DOCS) -> S
 
 
 def severities(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, severity (expected grade, 0 to 3), grade (likeliest), toxic_score
-    (probability of any grade above 0), toxic.
+    """One row per document: doc_id, severity (expected grade, 0 to 3), grade, toxic_score (probability of
+    any grade above 0), toxic.
+
+    A text is toxic from a ``toxic_score`` of ``TOXIC_FROM`` on, and its grade is then the likeliest above 0,
+    else 0.
 
     Null and empty texts have no words and the lowest severity the model knows; texts of any length
     are read whole. Repeated rows get a row each, an empty table gives an empty result; only the two
@@ -233,7 +236,7 @@ def severities(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id", te
                 [
                     batch.column("doc_id"),
                     pa.array(parts @ np.arange(GRADES), pa.float64()),
-                    pa.array(parts.argmax(axis=1).astype(np.int32)),
+                    pa.array(np.where(score >= TOXIC_FROM, 1 + parts[:, 1:].argmax(axis=1), 0).astype(np.int32)),
                     pa.array(score, pa.float64()),
                     pa.array(score >= TOXIC_FROM),
                 ],
