@@ -259,7 +259,7 @@ def test_many_secrets_in_one_text(spark):
     rows = [(1, " ".join(f"{i:016x}" for i in range(100_000))), (2, "token: abcdefghijkl; " * 30_000), (3, "0123456789abcdef" + "!" * 7)]
     begin = time.time()
     found = {r.doc_id: tuple(r)[1:] for r in secrets.secret_digests(secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
-    assert time.time() - begin < 90
+    assert time.time() - begin < 240  # in steps of one match it takes far longer
     assert found == {i: plain_secrets(t) for i, t in rows} and found[1][2] == 100_000 and found[2][0] == 30_000
 
 
