@@ -89,8 +89,12 @@ def as_lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * WIDTH), flat)
 
 
-def item_seeds(benchmark: DataFrame, id_col: str, text_col: str, shortest: int = SHORTEST) -> DataFrame:
-    """Seeds of the test items: seed, words, length, item_id; items alike around a seed share a row."""
+def item_seeds(benchmark: DataFrame, id_col: str, text_col: str, shortest: int = SHORTEST) -> tuple[DataFrame, DataFrame]:
+    """Seeds of the test items, and the items they come from.
+
+    The first table has window, seed, item_words and stretch: items alike around a seed share a window, so it
+    is verified once. The second has window and item_id, a row for each of these items.
+    """
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
@@ -113,8 +117,11 @@ def item_seeds(benchmark: DataFrame, id_col: str, text_col: str, shortest: int =
     rows = benchmark.select(F.col(id_col).alias("item_id"), F.col(text_col).alias("text"))
     made_rows = in_arrow(rows, made, f"{HIT}, length int, item_id {kind}")
     length = F.least("length", F.lit(STRETCH)).alias("stretch")
-    alike = made_rows.groupBy("seed", F.col("words").alias("item_words"), length)
-    return cut_lineage(alike.agg(F.min("item_id").alias("item_id"), F.min("length").alias("length")))
+    alike = ["seed", "item_words", "stretch"]
+    own = cut_lineage(made_rows.select("seed", F.col("words").alias("item_words"), length, "item_id").distinct())
+    # written with their numbers
+    found = cut_lineage(own.select(*alike).distinct().withColumn("window", F.monotonically_increasing_id()))
+    return found, own.join(found, alike).select("window", "item_id")
 
 
 def seed_filter(items: DataFrame) -> np.ndarray:
@@ -190,13 +197,27 @@ def verified(hits: DataFrame) -> DataFrame:
                 own = stretch == size
                 equal[own] = (sums[own, size:] - sums[own, : WIDTH + 1 - size]).max(axis=1)
             keep = pa.array(equal >= np.ceil(EQUAL * stretch))
-            names = ["doc_id", "key", "item_id", "start", "stretch"]
+            names = ["doc_id", "key", "window", "start", "stretch"]
             columns = [batch.column(c).filter(keep) for c in names] + [pa.array(equal).filter(keep)]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "equal"])
 
     kinds = {f.name: f.dataType.simpleString() for f in hits.schema}
-    schema = f"doc_id {kinds['doc_id']}, key string, item_id {kinds['item_id']}, start int, stretch int, equal int"
-    return in_arrow(hits.select("doc_id", "key", "item_id", "start", "stretch", "words", "item_words"), compared, schema)
+    schema = f"doc_id {kinds['doc_id']}, key string, window long, start int, stretch int, equal int"
+    return in_arrow(hits.select("doc_id", "key", "window", "start", "stretch", "words", "item_words"), compared, schema)
+
+
+def held_windows(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """Verified hits of documents (doc_id, key, text): doc_id, key, window, start, stretch, equal."""
+    # at most STRETCH different ones
+    lengths = [r[0] for r in items.select("stretch").distinct().collect()]
+    masks = sorted({mask for n in lengths for mask in masks_of(n)})
+    return verified(document_hits(rows, masks, seed_filter(items)).join(items, "seed"))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.col(text_col)
+    key = F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("key")
+    return docs.select(F.col(id_col).alias("doc_id"), key, text.alias("text"))
 
 
 def overlaps(
@@ -218,27 +239,25 @@ def overlaps(
     it is. ``start`` is the first word of the first hit, ``key`` the md5 of the text.
 
     Null and empty texts hold nothing; very long texts are hashed whole, in pieces. Items of fewer than
-    ``shortest`` words are not looked for. Of items with the same words around a seed the smallest
-    id is named. Repeated rows come out once, an empty table on either side gives an empty result,
-    and other columns are not looked at.
+    ``shortest`` words are not looked for. Of items with the same words around a seed each is named: hits are
+    counted by window first, and only those counts meet the items of the window. Repeated rows come out once, an
+    empty table on either side gives an empty result, and other columns are not looked at.
     """
-    text = F.col(text_col)
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("key"), text.alias("text")
+    items, owners = item_seeds(benchmark, item_col, item_text_col, shortest)
+    found = held_windows(keyed(docs, id_col, text_col), items).groupBy("doc_id", "key", "window").agg(
+        F.min("start").alias("start"),
+        F.max("equal").alias("equal"),
+        F.max("stretch").alias("stretch"),
+        F.count(F.lit(1)).alias("n_hits"),
     )
-    items = item_seeds(benchmark, item_col, item_text_col, shortest)
-    # at most STRETCH different ones
-    lengths = [r[0] for r in items.select("stretch").distinct().collect()]
-    masks = sorted({mask for n in lengths for mask in masks_of(n)})
-    hits = document_hits(rows, masks, seed_filter(items)).join(items.drop("length"), "seed")
     return (
-        verified(hits)
+        found.join(owners, "window")
         .groupBy("doc_id", "key", "item_id")
         .agg(
             F.min("start").alias("start"),
             F.max("equal").alias("equal"),
             F.max("stretch").alias("stretch"),
-            F.count(F.lit(1)).alias("n_hits"),
+            F.sum("n_hits").alias("n_hits"),
         )
     )
 
@@ -247,6 +266,7 @@ def without_overlaps(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", shortest: int = SHORTEST
 ) -> DataFrame:
     """The documents that hold no passage of a test item, all columns kept; cases as in ``overlaps``."""
-    found = cut_lineage(overlaps(docs, benchmark, id_col, text_col, shortest=shortest).select("key").distinct())
+    items, _ = item_seeds(benchmark, "item_id", "text", shortest)
+    found = cut_lineage(held_windows(keyed(docs, id_col, text_col), items).select("key").distinct())
     rows = docs.select(F.struct("*").alias("row"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"))
     return rows.join(found, "key", "left_anti").select("row.*")

@@ -245,6 +245,22 @@ def test_masks_ignore_any_one_word():
     assert all(any(m[i] == "0" for m in decontaminate.MASKS) for i in range(decontaminate.SPAN))
 
 
+def test_items_alike_are_all_named(spark):
+    draw = random.Random(4)
+    prose = lambda n: [f"w{draw.randrange(3000)}" for _ in range(n)]
+    prompt = prose(60)
+    items = [(3, prose(9) + prompt), (5, prompt + prose(9)), (7, prompt), (9, prompt), (11, prose(40))]
+    docs = [(1, prose(20) + prompt + prose(20)), (2, prose(50)), (4, prompt[20:40])]
+    docs, items = ([(i, " ".join(words)) for i, words in rows] for rows in (docs, items))
+    found = decontaminate.overlaps(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    assert got == plain_overlaps(docs, items) == {(d, i) for d in (1, 4) for i in (3, 5, 7, 9)} and len(found) == len(got)
+    # items of the same words are met alike
+    assert len({(r.doc_id, r.start, r.equal, r.stretch, r.n_hits) for r in found if r.item_id in (7, 9)}) == 2
+
+
 def test_decontamination_on_the_test_table(spark, sf_dir):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     items = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text").collect()]
