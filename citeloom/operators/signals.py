@@ -8,9 +8,8 @@ that join, never carried through it.
 
 A key that a third of the records share (one much cited article, one frequent name) only
 makes the probe side of an equi-join skewed; no rows of one key are ever grouped together.
-When the side table is small by Spark's own size estimate the join needs no shuffle; else
-adaptive skew handling splits the hot partition, which it can because the aggregation that
-follows has its own exchange by record.
+The join is a sort-merge join of narrow rows, of which adaptive skew handling splits the hot
+partition; it can because the aggregation that follows has its own exchange by record.
 """
 
 from __future__ import annotations
@@ -272,9 +271,13 @@ def lookup_table(
 
 
 def probe_hits(records: DataFrame, probes: Column, lookup: DataFrame, row_id: str = "rec_id") -> DataFrame:
-    """One row per probe that is found: ``(row_id, signal, key, year, pos, sub, rors, local_affiliations)``."""
+    """One row per probe that is found: ``(row_id, signal, key, year, pos, sub, rors, local_affiliations)``.
+
+    Both sides are sorted, whatever their estimated size: that of a lookup is the size of the columns it is made
+    from, and every task would hold its rows, many more and wider, in a hash table.
+    """
     exploded = records.select(row_id, F.explode(probes).alias("p")).select(row_id, "p.*")
-    return exploded.join(lookup, ["source", "key", "year"]).drop("source")
+    return exploded.join(lookup.hint("merge"), ["source", "key", "year"]).drop("source")
 
 
 def gather_hits(hits: DataFrame, row_id: str = "rec_id") -> DataFrame:
