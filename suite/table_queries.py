@@ -321,6 +321,11 @@ def _(spark, sf_dir):
     )
 
 
+def cut_records(spark, sf_dir) -> DataFrame:
+    """The typed records, parsed and written once: signals and the wide rows behind them are branches of their own."""
+    return cut_lineage(typed_records(spark, sf_dir))
+
+
 def lookup(spark, sf_dir) -> DataFrame:
     return S.lookup_table(publications(spark, sf_dir), authors(spark, sf_dir), orgs(spark, sf_dir))
 
@@ -359,7 +364,7 @@ ACCEPTED = "fr_reasons_concat <> '' AND NOT (fr_reasons_concat = 'clientId;publi
 
 @query("national_signals", signal_sql(f"SELECT doc_id, {SIGNAL_COLUMNS} FROM rec {SIGNAL_JOINS} WHERE {ACCEPTED}"))
 def _(spark, sf_dir):
-    signalled = S.national_signals(typed_records(spark, sf_dir), lookup(spark, sf_dir))
+    signalled = S.national_signals(cut_records(spark, sf_dir), lookup(spark, sf_dir))
     return signalled.select("doc_id", *signal_texts())
 
 
@@ -458,7 +463,7 @@ def _(spark, sf_dir):
 
 def catalogue_rows(spark, sf_dir) -> DataFrame:
     return build_catalogue(
-        typed_records(spark, sf_dir),
+        cut_records(spark, sf_dir),
         lookup(spark, sf_dir),
         batches=batches(spark, sf_dir),
         batch=["batch"],
@@ -518,7 +523,7 @@ def _(spark, sf_dir):
     FROM candidates GROUP BY file_path""",
 )
 def _(spark, sf_dir):
-    records = D.drop_version_copies(typed_records(spark, sf_dir))
+    records = D.drop_version_copies(cut_records(spark, sf_dir))
     reasons = cut_lineage(S.national_reasons(records, lookup(spark, sf_dir)))
     kept = kept_records(
         records, lookup(spark, sf_dir), reasons=reasons, batches=batches(spark, sf_dir), batch=["batch"], order=["file_rank", "line_no"]

@@ -662,3 +662,8 @@ def test_probe_lookups_are_not_broadcast(spark):
     hits = S.probe_hits(records, probes, S.lookup_table(authors=authors))
     assert [(r.rec_id, r.key, r.year, r.rors) for r in hits.collect()] == [(1, "A", 2015, ["r"])]
     assert "BroadcastHashJoin" not in plan_of(hits) and "SortMergeJoin" in plan_of(hits)
+
+
+@pytest.mark.parametrize("name", ["catalogue", "catalogue_details", "national_signals", "run_counters"])
+def test_records_are_parsed_once(spark, sf_dir, name):
+    assert "from_json" not in QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
