@@ -92,8 +92,20 @@ def _ascii_map() -> tuple[str, str, dict[str, str]]:
 
 
 def strip(c: Column | str) -> Column:
-    """Remove white space of any kind at both ends (``trim`` only knows blanks)."""
-    return F.regexp_replace(as_column(c), r"(?U)^\s+|\s+\z", "")
+    """Remove white space of any kind at both ends (``trim`` only knows blanks).
+
+    A pattern for the end would be tried at every blank of a text, so the end is taken off as the beginning
+    of the text read backwards, and only of texts that have white space at an end.
+    """
+
+    def begun(t: Column) -> Column:
+        return F.regexp_replace(t, r"(?U)^\s+", "")
+
+    def stripped(t: Column) -> Column:
+        ends = F.concat(F.left(t, F.lit(1)), F.right(t, F.lit(1)))
+        return F.when(ends.rlike(r"(?U)\s"), F.reverse(begun(F.reverse(begun(t))))).otherwise(t)
+
+    return let(as_column(c), stripped)
 
 
 def strip_accents(c: Column | str) -> Column:

@@ -2,6 +2,7 @@
 
 import re
 import string
+import time
 import unicodedata
 from functools import lru_cache
 
@@ -189,3 +190,13 @@ def test_url_signature(spark, url, normalized, signatures):
     found = value(spark, url_signature(F.lit(url).cast("string")))
     assert (found and found.normalized) == normalized
     assert (found and found.signatures) == signatures
+
+
+def test_strip_is_linear_in_the_text(spark):
+    blanks = " " * 200_000
+    texts = ["a", "", " ", "\u00a0 a b\u2003\n", "\u1680", "a\n", "\n\na\nb", "\U0001f600 \t", f"a{blanks}b", f" a{blanks}b\t"]
+    rows = spark.createDataFrame(list(enumerate([*texts, None])), "id int, t string")
+    began = time.monotonic()
+    got = [r.s for r in rows.select("id", X.strip("t").alias("s")).orderBy("id").collect()]
+    assert got == [t.strip() for t in texts] + [None]
+    assert time.monotonic() - began < 20  # every blank tried as the beginning of an end takes minutes
