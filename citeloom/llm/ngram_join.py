@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from citeloom.llm.common import in_arrow, small
@@ -29,6 +29,8 @@ BLOCK_SHINGLES = 1_000_000
 # Shingles signed at once, and shingles multiplied at once.
 SIGNED = 100_000
 COLUMNS = 4096
+# Digests of the texts to verify set two bits each in a filter of this size.
+FILTER_BITS = 24
 
 
 def expected_recall(similarity: float, depth: int, trees: int) -> float:
@@ -113,6 +115,7 @@ def candidates(entries: DataFrame) -> DataFrame:
     ``entries`` has number and prefix (the trie is part of its hash), also more than once. As many links as
     entries at most, and connected as all pairs would be.
     """
+    entries = entries.repartition("prefix")  # one exchange for both readers
     nodes = entries.groupBy("prefix").agg(F.min("number").alias("v"), F.max("number").alias("last")).where("v < last").drop("last")
     return entries.join(nodes, "prefix").where("number <> v").select(F.col("number").alias("u"), "v").distinct()
 
@@ -177,6 +180,33 @@ def verified(members: DataFrame, shingle: int, threshold: float) -> DataFrame:
     return members.groupBy("comp", "i", "j").applyInArrow(compare, "number long, links long, label long")
 
 
+def stand_filter(stands: DataFrame) -> np.ndarray:
+    """Bits of the digests of texts: at most 2 ** FILTER_BITS numbers reach the driver, whatever their number."""
+    places = stands.select(F.explode(F.array(*filter_places("of_digest"))).alias("place")).distinct().toArrow()
+    bits = np.zeros(1 << FILTER_BITS, dtype=bool)
+    bits[places.column("place").to_numpy()] = True
+    return np.packbits(bits, bitorder="little")
+
+
+def filter_places(digest: str) -> list[Column]:
+    """The two places of a digest in the filter."""
+    number = F.xxhash64(digest)
+    least = F.lit((1 << FILTER_BITS) - 1)
+    return [number.bitwiseAND(least), F.shiftrightunsigned(number, 64 - FILTER_BITS)]
+
+
+def maybe_among(rows: DataFrame, bits: np.ndarray) -> DataFrame:
+    """The rows whose digest passes the filter: all that are among its texts, and few others."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)  # of fixed size
+
+    @F.arrow_udf("boolean")
+    def passes(one: pa.Array, two: pa.Array) -> pa.Array:
+        table, one, two = shared.value, one.to_numpy(zero_copy_only=False), two.to_numpy(zero_copy_only=False)
+        return pa.array(((table[one >> 3] >> (one & 7)) & (table[two >> 3] >> (two & 7)) & 1).astype(bool))
+
+    return rows.where(passes(*filter_places("digest")))
+
+
 def near_copies(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -201,7 +231,8 @@ def near_copies(
     no task holds more than two of them and no pair leaves a task, only counts and one label per text.
 
     Texts without words (null and empty ones too) are in a class of their own, without links; very
-    long texts count whole. A document without an id shares the class of equal texts, and has a
+    long texts count whole. Before texts are shuffled to be verified, a filter of fixed size leaves out
+    those of other digests. A document without an id shares the class of equal texts, and has a
     null class, without links, when none of them has an id. Rows that repeat an id and a text are one
     document wherever links are counted, and each gets its row; of an id with several texts each row has
     the class and the links of its text. An empty table gives an empty result; other columns are not looked at.
@@ -229,7 +260,9 @@ def near_copies(
     placed = comps.join(sizes, "comp").withColumn("block", F.pmod(F.xxhash64("number"), "blocks").cast("int"))
     placed = cut_lineage(placed)
     # rows that repeat an id and a text become one; they are dealt out by these already
-    texts = rows.join(placed, at_stand).groupBy("id", "digest", "number", "comp", "block", "blocks").agg(F.first("text").alias("text"))
+    # few texts are members; the others are left out before the shuffle, by their digest
+    near = maybe_among(rows, stand_filter(placed))
+    texts = near.join(placed, at_stand).groupBy("id", "digest", "number", "comp", "block", "blocks").agg(F.first("text").alias("text"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     members = texts.select("number", "comp", "block", "text", other).select(
         "number", "comp", "block", "text", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")

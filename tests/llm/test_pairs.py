@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from citeloom.llm import decontaminate, ngram_join
 from citeloom.llm.components import components
@@ -162,6 +163,16 @@ def test_components_of_one_path(spark, path):
     assert sorted(tuple(r) for r in components(edges).collect()) == [(n, 1) for n in sorted(path)]
 
 
+def test_only_texts_to_verify_pass_the_filter(spark):
+    digest = F.unhex(F.md5(F.col("id").cast("string"))).alias("digest")
+    rows = spark.range(20_000).select("id", digest)
+    stands = rows.where("id % 10 = 0").select(F.col("digest").alias("of_digest"))
+    passed = {r.id for r in ngram_join.maybe_among(rows, ngram_join.stand_filter(stands)).collect()}
+    assert passed >= set(range(0, 20_000, 10)) and len(passed) < 2_200
+    none = ngram_join.stand_filter(stands.limit(0))
+    assert not ngram_join.maybe_among(rows, none).collect()
+
+
 # ---------------------------------------------------------------- decontamination
 
 
