@@ -32,8 +32,9 @@ NOTICES = {
 }
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The same words before letters are lower-cased.
-ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What stands between words in any case, character by character: Java tests a class of ranges range by range,
+# through calls that make the tasks of one process wait for each other.
+BETWEEN = "[" + "".join(rf"\x{c:02X}" for c in range(128) if not chr(c).isalnum()) + "]+"
 KELVIN = "\u212a"
 K = 2
 # Diagonals this close belong to one span: a word more or less in between.
@@ -42,14 +43,15 @@ NEAR = 2
 LEAST = 0.75
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, so lower-cased that they equal a word of ASCII letters when they do with A-Z alone.
+def split_words(text: Column) -> Column:
+    """An empty text, then the words, then one more empty text where the text ends between words.
 
-    Other capitals stay outside of ASCII when they are lower-cased, but for the Kelvin sign.
+    Words are so lower-cased that they equal a word of ASCII letters when they do with A-Z alone: other
+    capitals stay outside of ASCII when they are lower-cased, but for the Kelvin sign.
     """
     text = F.coalesce(text, F.lit(""))
     low = F.when(F.contains(text, F.lit(KELVIN)), ascii_lower(text)).otherwise(F.lower(text))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    return F.split(F.concat(F.lit(" "), low), BETWEEN)
 
 
 def templates(notices: dict[str, list[str]] = NOTICES) -> list[tuple[str, str, bool]]:
@@ -73,24 +75,45 @@ def template_grams(spark: SparkSession, listed: list[tuple[str, str, bool]]) ->
     return cut_lineage(made.withColumn("gram", F.xxhash64("t1", "t2")))
 
 
+def scan_words(docs: DataFrame, listed: list[tuple[str, str, bool]], text_col: str, *ids: Column) -> DataFrame:
+    """Written rows of one pass over the texts: ids, key, n_words, pos, w1, w2.
+
+    A row per row of ``docs``, with a null ``pos``, and a row per place of two neighbouring words that
+    are a pair of a template. ``key`` is the text's digest.
+    """
+    grams = sorted({" ".join(words[i : i + K]) for words in (phrase.split() for phrase, _, _ in listed) for i in range(len(words) - K + 1)})
+    # most pairs begin with a word that begins no pair of a template
+    begins = sorted({gram.split()[0] for gram in grams})
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(*ids, F.md5(text.cast("binary")).alias("key"), split_words(F.col(text_col)).alias("w"))
+    n_words = F.size("w") - 1 - (F.element_at("w", -1) == "").cast("int")
+    pairs = F.arrays_zip(F.col("w").alias("a"), F.slice("w", K, F.size("w")).alias("b"))
+    # outer, though no list is empty: else Spark asks first whether it is, and splits every text twice
+    rows = rows.withColumn("n_words", n_words.cast("long")).select("*", F.posexplode_outer(pairs).alias("at", "pair")).drop("w")
+    first, second = F.col("pair.a"), F.col("pair.b")
+    found = first.isin(begins) & F.concat_ws(" ", first, second).isin(grams)
+    place = F.when(F.col("at") > 0, F.col("at") - 1).alias("pos")
+    rows = rows.where((F.col("at") == 0) | found).select("*", place, first.alias("w1"), second.alias("w2"))
+    return cut_lineage(rows.drop("at", "pair"))
+
+
 def license_spans(docs: DataFrame, notices: dict[str, list[str]] = NOTICES, text_col: str = "text") -> DataFrame:
     """Verified spans by text: key, template, label, base, first_word, last_word (of the span), score.
 
-    Every pair of neighbouring words of every text meets the templates by its hash, and counts when
-    the words are equal too. Hits of one template on one diagonal (word number less place in the
-    template) vote together; diagonals at most ``NEAR`` apart are merged, and the merged span stays
+    Every pair of neighbouring words of every text meets the templates, by its hash where it is one of their
+    pairs, and counts when the words are equal too. Hits of one template on one diagonal (word number less
+    place in the template) vote together; diagonals at most ``NEAR`` apart are merged, and the merged span stays
     when it holds all grams of a base phrase, or ``LEAST`` of the grams of a notice. Base phrases
     must lie on one diagonal. ``key`` is the text's digest: copies share their spans.
     """
     listed = templates(notices)
-    grams = template_grams(docs.sparkSession, listed)
-    # most pairs begin with a word that begins no pair of a template
-    begins = sorted({word for phrase, _, _ in listed for word in phrase.split()[: 1 - K]})
-    rows = docs.select(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("key"), words_of(F.col(text_col)).alias("w"))
-    pairs = rows.where(F.size("w") >= K).select(
-        "key", F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", K, F.size("w")).alias("b")))
-    )
-    pairs = pairs.select("key", F.col("pos"), F.col("col.a").alias("w1"), F.col("col.b").alias("w2")).where(F.col("w1").isin(begins))
+    return spans_of(scan_words(docs, listed, text_col), listed)
+
+
+def spans_of(scanned: DataFrame, listed: list[tuple[str, str, bool]]) -> DataFrame:
+    """The spans of ``license_spans`` from the rows of ``scan_words``."""
+    grams = template_grams(scanned.sparkSession, listed)
+    pairs = scanned.where("pos IS NOT NULL").select("key", "pos", "w1", "w2")
     hits = pairs.withColumn("gram", F.xxhash64("w1", "w2")).join(grams, "gram").where("w1 = t1 and w2 = t2")
     # a hit of two copies of a text is one hit
     diagonals = (
@@ -132,11 +155,13 @@ def scan_licenses(
     distinct, sorted and comma-joined, empty without a hit. ``score`` is the best span's part of its
     template, 0 without any.
 
-    Null and empty texts have no words and no labels; very long texts are scanned whole, their words
-    dealt out as rows. Copies and repeated rows share the spans of their text and get a row each;
+    Texts are read and split once; what later steps need of them is written. Null and empty texts have no
+    words and no labels; very long texts are scanned whole, their words dealt out as rows. Copies and repeated rows share the spans of their text and get a row each;
     an empty table gives an empty result, other columns are not looked at.
     """
-    spans = license_spans(docs, notices, text_col)
+    listed = templates(notices)
+    scanned = scan_words(docs, listed, text_col, F.col(id_col).alias("doc_id"))
+    spans = spans_of(scanned, listed)
     base = F.col("base")
     by_text = spans.groupBy("key").agg(
         F.count(F.when(base, 1)).alias("n_base"),
@@ -146,12 +171,7 @@ def scan_licenses(
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"),
         F.max("score").alias("score"),
     )
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.md5(text.cast("binary")).alias("key"),
-        F.regexp_count(text, F.lit(ANY_CASE)).cast("long").alias("n_words"),
-    )
+    rows = scanned.where("pos IS NULL")
     return rows.join(by_text, "key", "left").select(
         "doc_id",
         "n_words",

@@ -92,6 +92,26 @@ def test_license_notices(spark):
     assert 0 < found[8][1] <= 1 and found[8][0] == "cc-by"
 
 
+def test_license_words_between_all_characters(spark):
+    between = [chr(c) for c in (*range(0x250), 0x212A, 0x3000, 0xFFFD, 0x1F600)]
+    texts = [f"{c}mit{c}license{c}" for c in between] + ["mit license", " mit license ", "cc,", ",cc", "cc", "-", "- -"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 2)], "doc_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for r in licenses.scan_licenses(docs).collect()]
+    assert sorted(got) == [(i, *plain_license(t)) for i, t in enumerate(texts * 2)]
+
+
+def test_license_texts_are_read_and_split_once(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "doc_id long, text string")
+    docs.write.parquet(str(tmp_path / "docs"))
+    made, cut = [], licenses.cut_lineage
+    monkeypatch.setattr(licenses, "cut_lineage", lambda df: made.append(plan_of(df)) or cut(df))
+    scanned = licenses.scan_licenses(spark.read.parquet(str(tmp_path / "docs")))
+    assert not [f for f in scanned.inputFiles() if str(tmp_path / "docs") in f]
+    scans = [plan for plan in made if "/docs" in plan]
+    assert len(scans) == 1 and scans[0].count("split(") == 1 and not re.search("regexp|CartesianProduct|Exchange", scans[0])
+    assert sorted(r.doc_id for r in scanned.collect()) == [*range(len(TEXTS))]
+
+
 # ---------------------------------------------------------------- URL filter
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"), ("a.b", "/x", "block")]
